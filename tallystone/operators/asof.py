@@ -51,9 +51,7 @@ def join(events: DataFrame, key: list[Column], day: Column, event_id: str, state
         with duckdb.connect(config={"threads": 1, "memory_limit": MEMORY}) as con:
             con.register("event", event)
             con.register("state", state)
-            done = con.execute("SELECT event.event_id, state.value FROM event ASOF LEFT JOIN state ON event.h1 = state.h1 AND event.h2 = state.h2 AND event.day >= state.day")
-            got = getattr(done, "to_arrow_table", None) or done.fetch_arrow_table  # the name differs between releases
-            got = got()
+            got = con.sql("SELECT event.event_id, state.value FROM event ASOF LEFT JOIN state ON event.h1 = state.h1 AND event.h2 = state.h2 AND event.day >= state.day").to_arrow_table()
         return pa.table({"event_id": got.column(0).cast(event.schema.field("event_id").type), "value": got.column(1).cast(pa.string())})
 
     return many.groupBy("_bucket", "_part").cogroup(few.groupBy("_bucket", "_part")).applyInArrow(one_bucket, f"event_id {kind}, value string")
