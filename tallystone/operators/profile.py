@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallystone.runtime import cut, maybe_broadcast
+from tallystone.runtime import cut, maybe_broadcast, stage
 
 #: Positions with a character set of their own; longer values are described by classes or runs.
 POSITIONS = 16
@@ -77,27 +77,38 @@ def _by_column(specs: list[Spec], make: Callable[[Spec], Column | None], default
     return default if out is None else out.otherwise(default)
 
 
+def _shape(v: Column) -> Column:
+    """Classes of characters, position by position: U, l, 9, others as they are."""
+    return F.translate(v, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "U" * 26 + "l" * 26 + "9" * 10)
+
+
+def _runs(shape: Column) -> Column:
+    return F.regexp_replace(shape, r"([Ul9])\1+", "$1")
+
+
 def _escape(c: Column) -> Column:
     return F.regexp_replace(c, r"([\\^$.|?*+()\[\]{}])", r"\\$1")
 
 
+def _inside(specs: list[Spec]) -> Column:
+    """Does the declared domain hold the value? Without a domain every value is inside."""
+    v = F.col("value")
+    return F.coalesce(_by_column(specs, lambda s: s.inside(v) if s.inside else None, F.lit(True)), F.lit(False)) & (F.col("context") == "")
+
+
 def induce(counts: DataFrame, specs: list[Spec]) -> DataFrame:
     """Expressions by minimum description length.
 
     One row a group of distinct values: column_name, inside, context, runs, shape (null where one expression covers the
     whole group of runs), level, expression, n_values, n_rows, bits, share (of the column's non-null rows)."""
     v = F.col("value")
-    inside = F.coalesce(_by_column(specs, lambda s: s.inside(v) if s.inside else None, F.lit(True)), F.lit(False)) & (F.col("context") == "")
-    values = counts.where(v.isNotNull()).groupBy("column_name", "value", "context").agg(F.sum("n").alias("n")).withColumn("inside", inside)
-    upper, lower, digit = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
-    shape = F.translate(v, upper + lower + digit, "U" * 26 + "l" * 26 + "9" * 10)
-    runs = F.regexp_replace(shape, r"([Ul9])\1+", "$1")
+    values = counts.where(v.isNotNull()).groupBy("column_name", "value", "context").agg(F.sum("n").alias("n")).withColumn("inside", _inside(specs))
     masks = []
     for p in range(POSITIONS):
         code = F.ascii(F.substring(v, p + 1, 1))
         bit = F.expr(f"shiftleft(1L, pmod(ascii(substring(value, {p + 1}, 1)), 64))")
         masks += [F.bit_or(F.when(code < 64, bit).otherwise(F.lit(0).cast("long"))).alias(f"a{p}"), F.bit_or(F.when((code >= 64) & (code < 128), bit).otherwise(F.lit(0).cast("long"))).alias(f"b{p}")]
-    groups = values.withColumn("shape", shape).withColumn("runs", runs).groupBy("column_name", "inside", "context", "runs", "shape").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows"), F.min("value").alias("least"), *masks)
+    groups = values.withColumn("shape", _shape(v)).withColumn("runs", _runs(F.col("shape"))).groupBy("column_name", "inside", "context", "runs", "shape").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows"), F.min("value").alias("least"), *masks)
     size = F.length("shape")
     classes = F.length(F.regexp_replace("shape", "[^Ul]", "")) * F.log2(F.lit(26.0)) + F.length(F.regexp_replace("shape", "[^9]", "")) * F.log2(F.lit(10.0))
     n = F.col("n_values").cast("double")
@@ -135,16 +146,17 @@ def induce(counts: DataFrame, specs: list[Spec]) -> DataFrame:
         .groupBy("column_name", "inside", "context", "runs", F.when(F.col("level") != "runs", F.col("shape")).alias("shape"), "level", "expression")
         .agg(F.sum("n_values").alias("n_values"), F.sum("n_rows").alias("n_rows"), F.sum(F.when(F.col("level") == "runs", F.col("b_runs")).otherwise(F.col("best"))).alias("bits"))
     )
-    return out.withColumn("share", F.col("n_rows") / F.sum("n_rows").over(W.partitionBy("column_name")))
+    total = groups.groupBy("column_name").agg(F.sum("n_rows").alias("_all"))
+    return out.join(maybe_broadcast(total), "column_name").withColumn("share", F.col("n_rows") / F.col("_all")).drop("_all")
 
 
-def classified(counts: DataFrame, expressions: DataFrame) -> DataFrame:
-    """Each distinct value with its expression; conforming: the expression lies inside the domain and isn't rare."""
-    upper, lower, digit = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
-    shape = F.translate("value", upper + lower + digit, "U" * 26 + "l" * 26 + "9" * 10)
-    values = counts.where(F.col("value").isNotNull()).select("column_name", "value", "context").distinct().withColumn("v_shape", shape).withColumn("runs", F.regexp_replace("v_shape", r"([Ul9])\1+", "$1"))
+def classified(counts: DataFrame, expressions: DataFrame, specs: list[Spec]) -> DataFrame:
+    """Each line of counts with its expression; conforming: the expression lies inside the domain and isn't rare. Only the
+    expressions travel: a value finds its own by shape."""
+    values = counts.where(F.col("value").isNotNull()).withColumn("v_shape", _shape(F.col("value"))).withColumn("runs", _runs(F.col("v_shape"))).withColumn("inside", _inside(specs))
     e = maybe_broadcast(expressions.select("column_name", "context", "runs", "shape", "inside", "expression", "share"))
-    return values.join(e, ["column_name", "context", "runs"]).where(F.col("shape").isNull() | (F.col("shape") == F.col("v_shape"))).select("column_name", "value", "context", "inside", "expression", "share", (F.col("inside") & (F.col("share") >= RARE)).alias("conforming"))
+    own = values.join(e, ["column_name", "context", "runs", "inside"]).where(F.col("shape").isNull() | (F.col("shape") == F.col("v_shape")))
+    return own.drop("v_shape", "runs", "shape").withColumn("conforming", F.col("inside") & (F.col("share") >= RARE))
 
 
 def load_changes(counts: DataFrame, specs: list[Spec], load: str = "load_date") -> DataFrame:
@@ -152,9 +164,11 @@ def load_changes(counts: DataFrame, specs: list[Spec], load: str = "load_date")
     none. With a single load there is nothing to compare and both are null; so is shift where either side has no value."""
     bucket = _by_column(specs, lambda s: s.bucket(F.col("value")) if s.bucket else None, F.col("value"))
     b = counts.where(F.col(load).isNotNull()).groupBy("column_name", load, bucket.alias("bucket")).agg(F.sum("n").alias("n"))
-    column, one, value = W.partitionBy("column_name"), W.partitionBy("column_name", load), W.partitionBy("column_name", "bucket")
     filled = F.when(F.col("bucket").isNotNull(), F.col("n")).otherwise(0)
-    b = b.select("*", F.sum("n").over(value).alias("all_v")).select("*", F.sum(filled).over(one).alias("mine"), F.sum("n").over(one).alias("rows"), F.sum(filled).over(column).alias("filled"), F.sum("n").over(column).alias("total"))
+    one = b.groupBy("column_name", load).agg(F.sum(filled).alias("mine"), F.sum("n").alias("rows"))  # a row for each column and load
+    column, value = W.partitionBy("column_name"), W.partitionBy("column_name", "bucket")
+    one = one.select("*", F.sum("mine").over(column).alias("filled"), F.sum("rows").over(column).alias("total"))
+    b = b.withColumn("all_v", F.sum("n").over(value)).join(maybe_broadcast(one), ["column_name", load])
     p, q = F.try_divide(F.col("n"), F.col("mine")), F.try_divide(F.col("all_v") - F.col("n"), F.col("filled") - F.col("mine"))
     is_value = F.col("bucket").isNotNull()
     out = b.groupBy("column_name", load).agg(
@@ -172,7 +186,7 @@ def found(df: DataFrame, specs: list[Spec] = SPECS, key: str = "row_no", load: s
     gives no row. Columns beside those of the specs, key and load are never read."""
     counts = cut(value_counts(df, specs, load))
     expressions = cut(induce(counts, specs))
-    suspects = classified(counts, expressions).where(~F.col("conforming")).select("column_name", "value", "context")
+    suspects = classified(counts, expressions, specs).where(~F.col("conforming")).select("column_name", "value", "context")
     empty = counts.where(F.col("value").isNull() & F.col("column_name").isin([s.name for s in specs if not s.null_ok])).select("column_name", "value", "context").distinct()
     suspects = cut(suspects.unionByName(empty).select("column_name", F.coalesce("value", F.lit("\u0000")).alias("_v"), "context").distinct())
     cells = _cells(df, specs, key).select(key, "column_name", F.coalesce("value", F.lit("\u0000")).alias("_v"), F.coalesce("context", F.lit("")).alias("context"))
@@ -189,10 +203,8 @@ def found(df: DataFrame, specs: list[Spec] = SPECS, key: str = "row_no", load: s
 def profile(df: DataFrame, specs: list[Spec], load: str = "load_date") -> DataFrame:
     """A row for each load and column: rows, null_share, n_distinct, least, greatest, mean (numbers only), the leading
     expression with its share of the load's values, nonconforming rows, and the gaps against the other loads."""
-    counts = cut(value_counts(df, specs, load))
-    expressions = induce(counts, specs)
-    values = cut(classified(counts, expressions))
-    joined = counts.join(values, ["column_name", "value", "context"])
+    counts = stage(value_counts(df, specs, load), "values")
+    joined = classified(counts, cut(induce(counts, specs)), specs)
     by_expression = joined.groupBy("column_name", load, "expression").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("conforming"), 0).otherwise(F.col("n"))).alias("bad"))
     lead = by_expression.groupBy("column_name", load).agg(F.max(F.struct("n", "expression")).alias("top"), F.sum("n").alias("filled"), F.sum("bad").alias("nonconforming"))
     number = F.expr("try_cast(value as double)")
