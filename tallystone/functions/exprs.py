@@ -52,7 +52,7 @@ def cagr(ratio: Column, years: int) -> Column:
 
 def median_upper(c: Column) -> Column:
     """The upper of the two middle values of an even number."""
-    return F.element_at(F.sort_array(F.collect_list(c)), (F.floor(F.count(c) / 2) + 1).cast("int"))
+    return F.try_element_at(F.sort_array(F.collect_list(c)), (F.floor(F.count(c) / 2) + 1).cast("int"))
 
 
 def first_match(value: Column, rules: Sequence[tuple], test) -> Column:

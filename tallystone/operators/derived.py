@@ -32,7 +32,7 @@ def with_reporting(df: DataFrame, by: list[str], who: str = "cik") -> DataFrame:
 
 def financials(conformed: DataFrame, entities: DataFrame) -> DataFrame:
     f = with_reporting(with_sector(conformed, entities), ["business_term_id", "fiscal_period"])
-    return f.withColumn("record_id", X.grain_hash("cik", "business_term_id", "fiscal_year", "fiscal_period"))
+    return f.withColumnsRenamed({"end_date": "period_end_date", "concept": "source_concept"}).withColumn("record_id", X.grain_hash("cik", "business_term_id", "fiscal_year", "fiscal_period"))
 
 
 def latest_rows(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

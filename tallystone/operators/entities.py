@@ -61,3 +61,11 @@ def decide(proposals: DataFrame, status: str, who: str, ids: list[str] | None =
     if ids is not None:
         hit = hit & F.col("mapping_id").isin(ids)
     return proposals.withColumns({"decided_by": F.when(hit, F.lit(who)).otherwise(F.col("decided_by") if "decided_by" in proposals.columns else F.lit(None).cast("string")), "reason": F.when(hit, F.lit(reason)).otherwise(F.col("reason") if "reason" in proposals.columns else F.lit(None).cast("string")), "status": F.when(hit, status).otherwise(F.col("status"))})
+
+
+def audit(rows: DataFrame, key: str, action: str, who: str, when: str) -> DataFrame:
+    """One audit row for each row: audit_id (a hash of key, action and time), the key, action, who, when, and the evidence
+    as JSON."""
+    names = [c for c in ("raw_entity_name", "confidence", "resolution_method", "method", "tier", "fact_count") if c in rows.columns]
+    evidence = F.to_json(F.struct(*[F.col(c) for c in names])) if names else F.lit("{}")
+    return rows.select(X.grain_hash(F.col(key), F.lit(action), F.lit(when)).alias("audit_id"), key, F.lit(action).alias("action"), F.lit(who).alias("performed_by"), F.lit(when).cast("timestamp").alias("performed_at"), evidence.alias("evidence"), F.lit(when[:10]).cast("date").alias("load_date"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tallystone.runtime import cut, maybe_broadcast, stage
 
 #: Positions with a character set of their own; longer values are described by classes or runs.
-POSITIONS = 16
+POSITIONS = 12
 #: Expressions that cover a smaller share of a column's rows are nonconforming even where no domain is declared.
 RARE = 0.002
 NULL_GAP, SHIFT_GAP = 0.05, 0.25
@@ -146,7 +146,7 @@ def induce(counts: DataFrame, specs: list[Spec]) -> DataFrame:
         .groupBy("column_name", "inside", "context", "runs", F.when(F.col("level") != "runs", F.col("shape")).alias("shape"), "level", "expression")
         .agg(F.sum("n_values").alias("n_values"), F.sum("n_rows").alias("n_rows"), F.sum(F.when(F.col("level") == "runs", F.col("b_runs")).otherwise(F.col("best"))).alias("bits"))
     )
-    total = groups.groupBy("column_name").agg(F.sum("n_rows").alias("_all"))
+    total = counts.where(v.isNotNull()).groupBy("column_name").agg(F.sum("n").alias("_all"))
     return out.join(maybe_broadcast(total), "column_name").withColumn("share", F.col("n_rows") / F.col("_all")).drop("_all")
 
 
