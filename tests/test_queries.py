@@ -48,9 +48,7 @@ def test_pipeline_and_tools(spark, tmp_path):
     from tallystone.sources.store import VersionedTable
 
     raw = table(spark, DATA, "xbrl_company_facts").where("fiscal_year between 2015 and 2024")
-    args = (raw, None, table(spark, DATA, "business_terms"), "2026-05-01 00:00:00")
-    assert set(pipeline.frames(*args)) == set(pipeline.KEYS)
-    done = pipeline.build(spark, str(tmp_path), *args)
+    done = pipeline.build(spark, str(tmp_path), raw, None, table(spark, DATA, "business_terms"), "2026-05-01 00:00:00")
     assert list(done) == list(pipeline.KEYS) and done["base.financial_facts"]["rows"] > 0
     t = {n: VersionedTable(spark, str(tmp_path), f"consumable.{n}").read() for n in serving.TABLES}
     fin = t.pop("company_financials")
@@ -63,7 +61,7 @@ def test_pipeline_and_tools(spark, tmp_path):
     assert tools.get_company_metric(who, name)["business_term"] == name
     assert tools.get_company_profile(who)["metrics"]
     assert tools.get_company_trend(who, row["business_term_id"])["series"]
-    assert tools.get_sector_summary("Unknown", metric=name)["metrics"][0]["n"] >= 1
+    assert tools.get_sector_summary("Unknown", row["fiscal_year"], name)["metrics"][0]["n"] >= 1
     assert "error" in tools.get_company_metric("x", name) and "error" in tools.get_ratio("x", "no such") and "error" in tools.compare_companies("x", "y")
     assert {"get_company_metric", "get_company_profile", "compare_companies", "rank_companies", "get_company_trend", "get_sector_summary", "get_ratio", "get_amendment_summary"} == set(tools.registry()) == {x["name"] for x in serving.schemas()}
     tools.reset()
