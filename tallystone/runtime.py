@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only after its rows were counted and found to be at most this many.
 BROADCAST_ROWS = 20_000
-#: Of one row, for the proof of the bound above.
+#: And at most so many bytes of text.
 BROADCAST_BYTES = 4_000_000
 
 
@@ -82,3 +82,10 @@ def key128(*cols: Column) -> tuple[Column, Column]:
 def fresh(df: DataFrame, *wanted: str) -> DataFrame:
     """Only the wanted columns, so extra columns of the input can neither clash nor be carried."""
     return df.select(*[F.col(f"`{c}`") for c in wanted])
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """For work that costs far more than moving the rows: a scan that Spark can't split into as many tasks as there are
+    cores (one small file) is dealt out to them. Larger scans stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
