@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallystone.llm import lexicon as L
 from tallystone.llm.automata import Trie, tokens
+from tallystone.runtime import spread_rows
 
 CATEGORIES = ("abuse", "hate", "sexual")
 THRESHOLD = 1.0
@@ -161,7 +162,7 @@ def _score_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def scores(documents: DataFrame) -> DataFrame:
     """doc_id, abuse, hate, sexual (0 and up; THRESHOLD flags), one row for each row of documents."""
-    return documents.select("doc_id", "text").mapInPandas(_score_batches, "doc_id long, abuse double, hate double, sexual double")
+    return spread_rows(documents.select("doc_id", "text")).mapInPandas(_score_batches, "doc_id long, abuse double, hate double, sexual double")
 
 
 def found(documents: DataFrame) -> DataFrame:
@@ -182,5 +183,5 @@ def rates(documents: DataFrame) -> DataFrame:
             s = [scorer.scores(t) for t in b["text"]]
             yield pd.DataFrame({"source": b["source"]} | {c: [float(x[k] >= THRESHOLD) for x in s] for k, c in enumerate(CATEGORIES)})
 
-    flags = documents.select(source_name(F.col("source")).alias("source"), "text").mapInPandas(run, "source string, abuse double, hate double, sexual double")
+    flags = spread_rows(documents.select(source_name(F.col("source")).alias("source"), "text")).mapInPandas(run, "source string, abuse double, hate double, sexual double")
     return flags.groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), *[F.avg(c).alias(f"{c}_rate") for c in CATEGORIES])

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.llm.words import words
+from tallystone.runtime import spread_rows
 
 #: Fixed masks: places of a span that count. Each clean run of seven words holds the first.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 1, 2, 4, 5, 8))
@@ -128,7 +129,7 @@ def found(documents: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS
     Null and empty texts hold none; texts are read whole; copies each count; items of fewer than 20 words can't leak;
     no items or no documents give no row."""
     out = None
-    slim = documents.select("doc_id", "text")
+    slim = spread_rows(documents.select("doc_id", "text"))
     for block in blocks(items, block_words):
         shared = documents.sparkSession.sparkContext.broadcast(block)
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallystone.runtime import cut, maybe_broadcast, stage
+from tallystone.runtime import cut, maybe_broadcast, spread_rows, stage
 
 #: Where the vocabulary files of public tokenizers lie, and which is used.
 TOKENIZERS = os.environ.get("TALLYSTONE_TOKENIZERS", "/opt/tokenizers")
@@ -56,7 +56,8 @@ def token_counts(documents: DataFrame, tokenizers: str = TOKENIZERS, vocabulary:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": np.fromiter((count(t) for t in b["text"]), np.int64, len(b))})
 
-    return documents.select("doc_id", source_name(F.col("source")).alias("source"), "text").where(F.col("source").isNotNull()).mapInPandas(run, "doc_id long, source string, n_tokens long")
+    slim = documents.select("doc_id", source_name(F.col("source")).alias("source"), "text").where(F.col("source").isNotNull())
+    return spread_rows(slim).mapInPandas(run, "doc_id long, source string, n_tokens long")
 
 
 def offsets(counts: DataFrame) -> DataFrame:
