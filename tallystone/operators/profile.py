@@ -53,7 +53,7 @@ def _date_relation() -> Column:
 SPECS = [
     Spec("fiscal_period", lambda v: v.isin(PERIODS)),
     Spec("form", lambda v: v.isin(FORMS), null_ok=False),
-    Spec("end_date", lambda v: F.to_date(v) >= F.lit(FIRST_END).cast("date"), _date_relation, lambda v: F.year(F.to_date(v)).cast("string"), null_ok=False),
+    Spec("end_date", lambda v: v.try_cast("date") >= F.lit(FIRST_END).cast("date"), _date_relation, lambda v: F.year(v.try_cast("date")).cast("string"), null_ok=False),
 ]
 
 

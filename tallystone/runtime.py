@@ -14,10 +14,14 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 20_000
 #: And at most so many bytes of text.
 BROADCAST_BYTES = 4_000_000
+ARROW_BYTES, ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of a data directory (a file or a folder of parts)."""
+    """One parquet table of a data directory (a file or a folder of parts). Batches for Python workers are bounded in
+    bytes as well as in rows, so long texts don't add up; a setting of the session is kept."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, str(ARROW_BATCH))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -62,8 +66,8 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
     """Is the frame proven to be within the broadcast bound? Reads at most rows + 1 rows and only their count and
     size reach the driver."""
     lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(8)) for c, t in df.dtypes if not t.startswith(("array", "struct", "map"))]
-    total = lengths[0]
-    for x in lengths[1:]:
+    total = F.lit(16 * (len(df.columns) - len(lengths)))
+    for x in lengths:
         total = total + x
     got = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(total), F.lit(0)).alias("b")).first()
     return got["n"] <= rows and got["b"] <= size
