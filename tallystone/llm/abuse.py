@@ -47,7 +47,7 @@ class Scorer:
         lexicon = self.insults | self.sharp | self.address | self.reporting | {"piece", "of"}
         for words, _, _ in self.phrases:
             lexicon |= set(words) - {"~"}
-        self.trie = Trie(lexicon)
+        self.trie = Trie(lexicon, frozenset(L.ORDINARY))
         self.first: dict[str, list[tuple[list[str], str, float]]] = {}
         for p in self.phrases:
             self.first.setdefault(p[0][0], []).append(p)
@@ -61,22 +61,25 @@ class Scorer:
     def scores(self, text: str | None) -> tuple[float, float, float]:
         """abuse, hate and sexual score. Null and empty texts score 0."""
         toks = tokens(text)
-        match = self.trie.match
-        seen: list[tuple[int, dict[str, float]]] = []
-        sentence, hot, place = [], False, 0
-        sentences: list[int] = []
+        match, cache = self.trie.match, self.trie.cache
+        found = []
+        hot = False
         for t in toks:
-            if t in _ENDS:
-                place += 1 if t in ".!?\n" else 0
-                continue
-            m = match(t)
-            d = dict(m) if m else {}
-            if d and not hot and any(w in self.telling for w in d):
-                hot = True
-            seen.append((place, d))
-            sentences.append(place)
+            d = cache.get(t)
+            if d is None:
+                d = match(t)
+            found.append(d)
+            if d and not hot:
+                hot = not self.telling.isdisjoint(d)
         if not hot:
             return 0.0, 0.0, 0.0
+        seen: list[tuple[int, dict[str, float]]] = []
+        place = 0
+        for t, d in zip(toks, found, strict=True):
+            if t in _ENDS:
+                place += 1 if t in ".!?\n" else 0
+            else:
+                seen.append((place, d))
         n = len(seen)
         marks: dict[str, list[tuple[int, int, float]]] = {}
         for i, (_, d) in enumerate(seen):

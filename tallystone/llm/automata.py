@@ -75,8 +75,9 @@ class LevenshteinAutomaton:
 class Trie:
     END = ""
 
-    def __init__(self, lexicon: set[str]):
+    def __init__(self, lexicon: set[str], ordinary: frozenset[str] = frozenset()):
         self.root: dict = {}
+        self.ordinary = ordinary - lexicon
         for w in lexicon:
             node = self.root
             for c in w:
@@ -86,7 +87,7 @@ class Trie:
         self.squeezed: dict[str, set[str]] = {}
         for w in lexicon:
             self.squeezed.setdefault(_DOUBLE.sub(r"\1", w), set()).add(w)
-        self.cache: dict[str, tuple[tuple[str, float], ...]] = {}
+        self.cache: dict[str, dict[str, float]] = {}
 
     def near(self, word: str, k: int) -> set[str]:
         """Words within k edits that begin with the same letter."""
@@ -119,13 +120,13 @@ class Trie:
                     stack.append((nxt, i + 1))
         return out
 
-    def match(self, token: str) -> tuple[tuple[str, float], ...]:
+    def match(self, token: str) -> dict[str, float]:
         """Lexicon words that a token stands for, with a certainty: 1 as written or undone disguise, less if misspelled."""
         got = self.cache.get(token)
         if got is None:
             if len(self.cache) > 500_000:
                 self.cache.clear()
-            got = self.cache[token] = tuple(self._match(token).items())
+            got = self.cache[token] = self._match(token)
         return got
 
     def _match(self, token: str) -> dict[str, float]:
@@ -154,7 +155,7 @@ class Trie:
             return out
         for f in forms:
             f = _RUN.sub(r"\1", f)
-            if len(f) >= 5 and f.isalpha():
+            if len(f) >= 5 and f.isalpha() and f not in self.ordinary:
                 for w in self.near(f, 1 if len(f) < 11 else 2):
                     if len(w) >= 5 and w[0] == f[0]:
                         out[w] = max(out.get(w, 0.0), 0.7)

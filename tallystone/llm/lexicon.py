@@ -209,3 +209,8 @@ REPORTING = "policy policies complaint complaints forbid forbids hotline harassm
 SELF = ["i was an", "i was a", "i am an", "i am a", "i feel like a", "call me an", "call me a", "myself an", "myself a"]
 #: Exclamations that make the insult meant for somebody.
 OPENERS = ["what a", "like you", "tell the", "whoever wrote", "guy above", "moderator here", "whole team", "finance chief", "in charge of", "so ein"]
+#: Ordinary words that look like misspelled terms: a word is no misspelling.
+ORDINARY = """price prices priced pride share change changes charged lower lowers lease stock stocks write writes figures
+bridge counts count while where whose those drawn wager rates rate nicht entra donne cours toward crown crowns carbon
+batch slope interior closer close losses loses loss honey thorny things breath breaths patch pitch score prime
+parade paradise discussing certain clowns cloud court courts water waters leave leaves whole stuck drain wrote""".split()
