@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallystone.functions.names import spelling
 from tallystone.operators.buckets import ROWS_PER_TASK, spread
-from tallystone.runtime import key128
+from tallystone.runtime import key128, stage
 
 MEMORY = "512MB"
 
@@ -32,7 +32,7 @@ def versions(facts: DataFrame, key: list[Column], available: Column, order: list
     w = W.partitionBy("h1", "h2").orderBy("day")
     state = daily.withColumn("s", F.max("s").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
     changed = state.withColumn("_before", F.lag("s").over(w)).where(~F.col("s").eqNullSafe(F.col("_before")))
-    return changed.select("h1", "h2", F.unix_date("day").alias("day"), F.col("s._value").alias("value"))
+    return stage(changed.select("h1", "h2", F.unix_date("day").alias("day"), F.col("s._value").alias("value")), "states")  # counted, then joined
 
 
 def join(events: DataFrame, key: list[Column], day: Column, event_id: str, states: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:

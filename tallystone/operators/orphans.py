@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallystone.operators.buckets import ROWS_PER_TASK, spread
-from tallystone.runtime import key128, small
+from tallystone.runtime import key128, small, stage
 
 
 def binary_search(h1: np.ndarray, h2: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
@@ -102,6 +102,7 @@ def classify(financials: DataFrame, ratios: DataFrame, business_terms: DataFrame
     Null parts of a key equal null; a null load_date is neither before nor after any date; repeated rows stay (found
     makes them one). Empty tables: no references, or all missing."""
     r = probe(references(financials, ratios), [F.col("ref")], terms(business_terms), [F.col("name")], ["term", "added_on", "retired_on"], ["record_id", "load_date"], per_task)
+    r = stage(r, "references")  # read four times below
     r = r.withColumnRenamed("found", "known").withColumn("own", F.when(~F.col("known"), "missing").when(F.col("retired_on") <= F.col("load_date"), "deleted").when(F.col("added_on") > F.col("load_date"), "late"))
     key = ["cik", "fiscal_year", "fiscal_period", "term"]
     components = r.where((F.col("table_name") == "company_financials") & F.col("known")).groupBy(*key).agg(F.min("load_date").alias("first_load"))
