@@ -50,9 +50,9 @@ def cagr(ratio: Column, years: int) -> Column:
     return F.when(ratio <= 0, -root - 1).otherwise(root - 1)
 
 
-def median_upper(c: Column) -> Column:
-    """The upper of the two middle values of an even number."""
-    return F.try_element_at(F.sort_array(F.collect_list(c)), (F.floor(F.count(c) / 2) + 1).cast("int"))
+def median_upper(name: str) -> Column:
+    """The upper of the two middle values of an even number, as an aggregate that combines before the shuffle."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{name}` DESC)")
 
 
 def first_match(value: Column, rules: Sequence[tuple], test) -> Column:

@@ -102,4 +102,4 @@ def amendment_stats(pairs: DataFrame) -> DataFrame:
 
 def group_stats(df: DataFrame, by: list[str], value: str, label: str) -> DataFrame:
     """Mean, upper median, leader, laggard and number for each group; ties go to the least label."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.avg(value).alias("mean"), X.median_upper(F.col(value)).alias("median"), F.min_by(label, F.struct(-F.col(value), F.col(label))).alias("leader"), F.min_by(label, F.struct(F.col(value), F.col(label))).alias("laggard"), F.count(F.lit(1)).alias("n"))
+    return df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.avg(value).alias("mean"), X.median_upper(value).alias("median"), F.min_by(label, F.struct(-F.col(value), F.col(label))).alias("leader"), F.min_by(label, F.struct(F.col(value), F.col(label))).alias("laggard"), F.count(F.lit(1)).alias("n"))

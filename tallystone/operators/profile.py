@@ -126,8 +126,10 @@ def induce(counts: DataFrame, specs: list[Spec]) -> DataFrame:
         .withColumn("b_runs", n * (classes + 2.0 * run_count * F.log2(size / F.greatest(run_count, F.lit(1)) + 1.0)))
         .withColumn("best", F.least("b_literal", F.coalesce("b_sets", F.col("b_literal")), "b_classes"))
     )
-    whole = W.partitionBy("column_name", "inside", "context", "runs")
-    groups = groups.withColumn("_fine", F.sum("best").over(whole)).withColumn("_runs", F.sum("b_runs").over(whole) + 8.0 * run_count)
+    groups = stage(groups, "shapes")
+    whole = ["column_name", "inside", "context", "runs"]
+    sums = groups.groupBy(*whole).agg(F.sum("best").alias("_fine"), (F.sum("b_runs") + 8.0 * F.length("runs")).alias("_runs"))
+    groups = groups.join(sums, whole)
     chars = F.lit("")
     for p in range(POSITIONS):
         members = F.expr(f"concat(filter(transform(sequence(0,63), i -> if(shiftright(a{p}, i) & 1L = 1L, char(i), '')), x -> x <> ''), filter(transform(sequence(0,63), i -> if(shiftright(b{p}, i) & 1L = 1L, char(i + 64), '')), x -> x <> ''))")

@@ -260,10 +260,10 @@ j AS (SELECT x.business_term_id, x.fiscal_year, x.val AS val_a, z.val AS val_b F
 SELECT business_term_id, fiscal_year, val_a, val_b, val_a - val_b AS delta, round(CASE WHEN val_b <> 0 THEN (val_a - val_b) / abs(val_b) END, 6) AS delta_pct, CASE WHEN val_a > val_b THEN 'a' WHEN val_a < val_b THEN 'b' ELSE 'tie' END AS winner FROM j""")
 def compare_two(spark, d):
     """Two companies (the least and the greatest number) side by side for all terms and common years."""
-    f = _fin(spark, d).where((F.col("val").isNotNull()))
-    ends = _fin(spark, d).agg(F.min("cik").alias("a"), F.max("cik").alias("b"))  # one row
-    fy = f.where(F.col("fiscal_period") == "FY").join(F.broadcast(ends), (F.col("cik") == F.col("a")) | (F.col("cik") == F.col("b")))
-    p = fy.groupBy("business_term_id", "fiscal_year").agg(F.max(F.when(F.col("cik") == F.col("a"), F.col("val"))).alias("val_a"), F.max(F.when(F.col("cik") == F.col("b"), F.col("val"))).alias("val_b"))
+    f = _fin(spark, d)
+    ends = f.agg(F.min("cik").alias("a"), F.max("cik").alias("b")).select(F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("a").alias("cik")), F.struct(F.lit("b").alias("side"), F.col("b").alias("cik")))).alias("e")).select("e.*")  # two rows
+    fy = f.where(F.col("val").isNotNull() & (F.col("fiscal_period") == "FY")).join(F.broadcast(ends), "cik")
+    p = fy.groupBy("business_term_id", "fiscal_year").agg(*[F.max(F.when(F.col("side") == s, F.col("val"))).alias(f"val_{s}") for s in "ab"])
     p = p.where(F.col("val_a").isNotNull() & F.col("val_b").isNotNull())
     return p.select("business_term_id", "fiscal_year", "val_a", "val_b", (F.col("val_a") - F.col("val_b")).alias("delta"), F.round(X.pct_of_abs(F.col("val_a"), F.col("val_b")), 6).alias("delta_pct"), F.when(F.col("val_a") > F.col("val_b"), "a").when(F.col("val_a") < F.col("val_b"), "b").otherwise("tie").alias("winner"))
 
@@ -326,9 +326,8 @@ AND o.cik IS NOT DISTINCT FROM n.cik AND o.accession_number IS NOT DISTINCT FROM
 def multi_key_anti(spark, d):
     """Rows of the last load that no earlier load has."""
     x = table(spark, d, "xbrl_company_facts").select("row_no", "load_date", *filings.RAW_KEY)
-    last = F.broadcast(x.agg(F.max("load_date").alias("last")))  # one row
-    x = x.join(last, F.lit(True))
-    return new_rows(x.where(F.col("load_date") == F.col("last")), x.where(F.col("load_date") < F.col("last")), filings.RAW_KEY, null_safe=True).select("row_no")
+    last = F.broadcast(x.agg(F.max("load_date").alias("load_date")))  # one row
+    return new_rows(x.join(last, "load_date", "left_semi"), x.where(F.col("load_date").isNotNull()).join(last, "load_date", "left_anti"), filings.RAW_KEY, null_safe=True).select("row_no")
 
 
 @query("SELECT DISTINCT fiscal_year FROM company_financials WHERE sector = 'Technology' INTERSECT SELECT DISTINCT fiscal_year FROM company_financials WHERE sector = 'Energy'")

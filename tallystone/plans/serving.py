@@ -189,7 +189,7 @@ class Tools:
         for mid, name, source in wanted:
             key, val = ("business_term_id", "val") if source == "company_financials" else ("ratio_id", "ratio_value")
             g = self.table(source).where((F.col("sector") == sector) & (F.col("fiscal_period") == "FY") & (F.col("fiscal_year") == year) & (F.col(key) == mid) & F.col(val).isNotNull()).groupBy("cik").agg(F.max("ticker").alias("ticker"), F.max(val).alias("v"))
-            s = g.agg(F.avg("v").alias("mean"), X.median_upper(F.col("v")).alias("median"), F.min_by("ticker", F.struct(-F.col("v"), "ticker")).alias("leader"), F.min_by("ticker", F.struct(F.col("v"), F.col("ticker"))).alias("laggard"), F.count("v").alias("n")).first()
+            s = g.agg(F.avg("v").alias("mean"), X.median_upper("v").alias("median"), F.min_by("ticker", F.struct(-F.col("v"), "ticker")).alias("leader"), F.min_by("ticker", F.struct(F.col("v"), F.col("ticker"))).alias("laggard"), F.count("v").alias("n")).first()
             if s["n"]:
                 out.append({"metric": name, **s.asDict()})
         members = [r[0] for r in f.where(F.col("fiscal_year") == year).select("ticker").distinct().orderBy("ticker").collect()]
