@@ -75,6 +75,17 @@ def _spelling(c: str) -> str:
     return f"upper(regexp_replace(regexp_replace({c}, '^[^:]*:', ''), '\\s+', '', 'g'))"
 
 
+_REFERENCES = """t AS (SELECT upper(business_term_id) AS name, business_term_id AS term, added_on, retired_on FROM business_terms UNION ALL SELECT upper(legacy_id), business_term_id, added_on, retired_on FROM business_terms WHERE legacy_id IS NOT NULL),
+refs AS (SELECT 'company_financials' AS table_name, 'business_term_id' AS column_name, record_id, cik, fiscal_year, fiscal_period, load_date, business_term_id AS ref FROM company_financials
+UNION ALL SELECT 'financial_ratios', 'numerator_bt_id', record_id, cik, fiscal_year, fiscal_period, load_date, numerator_bt_id FROM financial_ratios
+UNION ALL SELECT 'financial_ratios', 'denominator_bt_id', record_id, cik, fiscal_year, fiscal_period, load_date, denominator_bt_id FROM financial_ratios),
+j AS (SELECT refs.*, t.term, added_on, retired_on FROM refs LEFT JOIN t ON upper(trim(ref, ' \t\n\r')) = t.name WHERE trim(ref, ' \t\n\r') <> ''),
+k AS (SELECT cik, fiscal_year, fiscal_period, term, min(load_date) AS first_load FROM j WHERE table_name = 'company_financials' AND term IS NOT NULL GROUP BY ALL),
+o AS (SELECT j.*, CASE WHEN j.term IS NULL THEN 'missing' WHEN retired_on <= load_date THEN 'deleted' WHEN added_on > load_date THEN 'late' WHEN table_name = 'financial_ratios' AND first_load IS NULL THEN 'no_component' WHEN table_name = 'financial_ratios' AND first_load > load_date THEN 'late_component' END AS kind
+FROM j LEFT JOIN k ON j.cik = k.cik AND j.fiscal_year = k.fiscal_year AND j.fiscal_period = k.fiscal_period AND j.term = k.term)"""
+_AS_OF = f"""WITH f AS (SELECT cik, {_spelling("concept")} AS c, {_spelling("unit")} AS u, end_date, filed_date, accession_number, fact_id FROM financial_facts), r AS (SELECT request_id, cik, {_spelling("concept")} AS c, {_spelling("unit")} AS u, CAST(requested_at AT TIME ZONE 'UTC' AS DATE) AS d FROM metric_requests)
+SELECT r.request_id, f.fact_id FROM r JOIN f ON r.cik = f.cik AND r.c = f.c AND r.u = f.u AND f.filed_date <= r.d QUALIFY row_number() OVER (PARTITION BY r.request_id ORDER BY f.end_date DESC NULLS LAST, f.filed_date DESC, f.accession_number DESC NULLS LAST, f.fact_id DESC NULLS LAST) = 1"""
+
 SQL: dict[str, str] = {
     "p1_found": f"""WITH x AS ({_LOADS}), n AS (SELECT c, load_date, v, count(*) AS n FROM x WHERE load_date IS NOT NULL GROUP BY ALL), l AS (SELECT c, load_date, sum(n) AS n, coalesce(sum(n) FILTER (v IS NOT NULL), 0) AS f FROM n GROUP BY ALL),
 t AS (SELECT c, sum(n) AS n, sum(f) AS f FROM l GROUP BY c), vv AS (SELECT DISTINCT c, v FROM n WHERE v IS NOT NULL),
@@ -84,15 +95,8 @@ UNION ALL SELECT 'violation', 'form', row_no::VARCHAR FROM xbrl_company_facts WH
 UNION ALL SELECT 'violation', 'end_date', row_no::VARCHAR FROM xbrl_company_facts WHERE end_date IS NULL OR end_date < DATE '1993-01-01' OR end_date > filed_date OR end_date < start_date
 UNION ALL SELECT 'nulls', l.c, strftime(load_date, '%Y-%m-%d') FROM l JOIN t ON t.c = l.c WHERE t.n > l.n AND abs((l.n - l.f) / l.n - ((t.n - t.f) - (l.n - l.f)) / (t.n - l.n)) > 0.05
 UNION ALL SELECT 'shift', c, strftime(load_date, '%Y-%m-%d') FROM s WHERE shift > 0.25""",
-    "p3_found": """WITH t AS (SELECT upper(business_term_id) AS name, business_term_id AS term, added_on, retired_on FROM business_terms UNION ALL SELECT upper(legacy_id), business_term_id, added_on, retired_on FROM business_terms WHERE legacy_id IS NOT NULL),
-refs AS (SELECT 'company_financials' AS table_name, 'business_term_id' AS column_name, record_id, cik, fiscal_year, fiscal_period, load_date, business_term_id AS ref FROM company_financials
-UNION ALL SELECT 'financial_ratios', 'numerator_bt_id', record_id, cik, fiscal_year, fiscal_period, load_date, numerator_bt_id FROM financial_ratios
-UNION ALL SELECT 'financial_ratios', 'denominator_bt_id', record_id, cik, fiscal_year, fiscal_period, load_date, denominator_bt_id FROM financial_ratios),
-j AS (SELECT refs.*, t.term, added_on, retired_on FROM refs LEFT JOIN t ON upper(trim(ref, ' \t\n\r')) = t.name WHERE trim(ref, ' \t\n\r') <> ''),
-k AS (SELECT cik, fiscal_year, fiscal_period, term, min(load_date) AS first_load FROM j WHERE table_name = 'company_financials' AND term IS NOT NULL GROUP BY ALL),
-o AS (SELECT DISTINCT table_name, column_name, record_id, CASE WHEN j.term IS NULL THEN 'missing' WHEN retired_on <= load_date THEN 'deleted' WHEN added_on > load_date THEN 'late' WHEN table_name = 'financial_ratios' AND first_load IS NULL THEN 'no_component' WHEN table_name = 'financial_ratios' AND first_load > load_date THEN 'late_component' END AS kind
-FROM j LEFT JOIN k ON j.cik = k.cik AND j.fiscal_year = k.fiscal_year AND j.fiscal_period = k.fiscal_period AND j.term = k.term)
-SELECT * FROM o WHERE kind IS NOT NULL""",
-    "p5_found": f"""WITH f AS (SELECT cik, {_spelling("concept")} AS c, {_spelling("unit")} AS u, end_date, filed_date, accession_number, fact_id FROM financial_facts), r AS (SELECT request_id, cik, {_spelling("concept")} AS c, {_spelling("unit")} AS u, CAST(requested_at AT TIME ZONE 'UTC' AS DATE) AS d FROM metric_requests)
-SELECT r.request_id, f.fact_id FROM r JOIN f ON r.cik = f.cik AND r.c = f.c AND r.u = f.u AND f.filed_date <= r.d QUALIFY row_number() OVER (PARTITION BY r.request_id ORDER BY f.end_date DESC NULLS LAST, f.filed_date DESC, f.accession_number DESC NULLS LAST, f.fact_id DESC NULLS LAST) = 1""",
+    "p3_found": f"WITH {_REFERENCES} SELECT DISTINCT table_name, column_name, record_id, kind FROM o WHERE kind IS NOT NULL",
+    "p3_report": f"WITH {_REFERENCES}, per AS (SELECT table_name, column_name, fiscal_year, fiscal_period, kind, count(DISTINCT record_id) AS n_orphans, count(*) AS n_rows FROM o GROUP BY ALL) SELECT * FROM (SELECT *, (sum(n_rows) OVER (PARTITION BY table_name, column_name, fiscal_year, fiscal_period))::BIGINT AS n_references FROM per) WHERE kind IS NOT NULL",
+    "p5_found": _AS_OF,
+    "p5_values": f"WITH a AS ({_AS_OF}), v AS (SELECT * FROM financial_facts WHERE fact_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY fact_id ORDER BY promoted_at DESC NULLS LAST, val DESC NULLS LAST, end_date DESC NULLS LAST, filed_date DESC NULLS LAST) = 1) SELECT a.request_id, a.fact_id, v.val, v.end_date, v.filed_date FROM a JOIN v USING (fact_id)",
 }
