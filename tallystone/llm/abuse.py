@@ -74,12 +74,14 @@ class Scorer:
         if not hot:
             return 0.0, 0.0, 0.0
         seen: list[tuple[int, dict[str, float]]] = []
+        toks_at: list[str] = []
         place = 0
         for t, d in zip(toks, found, strict=True):
             if t in _ENDS:
                 place += 1 if t in ".!?\n" else 0
             else:
                 seen.append((place, d))
+                toks_at.append(t)
         n = len(seen)
         marks: dict[str, list[tuple[int, int, float]]] = {}
         for i, (_, d) in enumerate(seen):
@@ -126,10 +128,15 @@ class Scorer:
             else:
                 by_sentence[s] = max(by_sentence.get(s, 0.0), score)
         best["abuse"] = max([0.0, *by_sentence.values()])
-        sexual: dict[int, float] = {}
-        for a, _, w in marks.get("sexual", ()):
-            sexual[seen[a][0]] = max(sexual.get(seen[a][0], 0.0), w - off(a))
-        best["sexual"] = max([0.0, *sexual.values()])
+        sexual: dict[int, tuple[float, tuple[str, ...]]] = {}  # a word counts once, by its strongest mark
+        for a, e, w in marks.get("sexual", ()):
+            sexual[a] = max(sexual.get(a, (0.0, ())), (w - off(a), tuple(toks_at[a : e + 1])))
+        for a in sexual:
+            near: dict[tuple[str, ...], float] = {}  # a repeated term adds nothing
+            for b, (w, words) in sexual.items():
+                if a <= b <= a + WINDOW:
+                    near[words] = max(near.get(words, 0.0), w)
+            best["sexual"] = max(best["sexual"], sum(near.values()))
         return best["abuse"], max(0.0, best["hate"]), best["sexual"]
 
     def _follow(self, seen: list[tuple[int, dict[str, float]]], i: int, words: list[str]) -> int | None:

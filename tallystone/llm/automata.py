@@ -19,6 +19,8 @@ _TAG = re.compile(r"<[^<>]{0,200}>")
 _TOKEN = re.compile("\u200b?[\\w@$*!|']*[\\w*]|[.!?;:\n]")
 _RUN = re.compile(r"(\w)\1{2,}")
 _DOUBLE = re.compile(r"(\w)\1+")
+#: Certainty of a misspelled word: a full phrase (1.2), an insult of a group (1.1) and an addressed insult (0.55 + 0.5) still reach 1.
+MISSPELLED = 0.92
 
 
 def bare(text: str) -> str:
@@ -158,5 +160,5 @@ class Trie:
             if len(f) >= 5 and f.isalpha() and f not in self.ordinary:
                 for w in self.near(f, 1 if len(f) < 11 else 2):
                     if len(w) >= 5 and w[0] == f[0]:
-                        out[w] = max(out.get(w, 0.0), 0.7)
+                        out[w] = max(out.get(w, 0.0), MISSPELLED)
         return out
