@@ -47,12 +47,15 @@ class Scorer:
         lexicon = self.insults | self.sharp | self.address | self.reporting | {"piece", "of"}
         for words, _, _ in self.phrases:
             lexicon |= set(words) - {"~"}
-        self.trie = Trie(lexicon, frozenset(L.ORDINARY))
+        self.trie = Trie(lexicon, frozenset(L.ORDINARY), frozenset(L.SHORT))
         self.first: dict[str, list[tuple[list[str], str, float]]] = {}
         for p in self.phrases:
             self.first.setdefault(p[0][0], []).append(p)
         #: A text without any of these can't score: most texts end here.
         self.telling = self.insults | {self._rarest(p) for p, kind, _ in self.phrases if kind in ("abuse", "sexual", "contempt")}
+        #: Tokens seen so far, and those among them that stand for a telling word.
+        self.known: set[str] = set()
+        self.hot: set[str] = set()
 
     @staticmethod
     def _rarest(words: list[str]) -> str:
@@ -61,18 +64,17 @@ class Scorer:
     def scores(self, text: str | None) -> tuple[float, float, float]:
         """abuse, hate and sexual score. Null and empty texts score 0."""
         toks = tokens(text)
-        match, cache = self.trie.match, self.trie.cache
-        found = []
-        hot = False
-        for t in toks:
-            d = cache.get(t)
-            if d is None:
-                d = match(t)
-            found.append(d)
-            if d and not hot:
-                hot = not self.telling.isdisjoint(d)
-        if not hot:
+        match = self.trie.match
+        if len(self.known) > 500_000:
+            self.known.clear()
+            self.hot.clear()
+        for t in set(toks) - self.known:
+            self.known.add(t)
+            if not self.telling.isdisjoint(match(t)):
+                self.hot.add(t)
+        if self.hot.isdisjoint(toks):
             return 0.0, 0.0, 0.0
+        found = [match(t) for t in toks]
         seen: list[tuple[int, dict[str, float]]] = []
         toks_at: list[str] = []
         place = 0
@@ -89,7 +91,8 @@ class Scorer:
                 for words, kind, weight in self.first.get(w, ()):
                     end = self._follow(seen, i, words)
                     if end is not None:
-                        marks.setdefault(kind, []).append((i, end, weight * min(sure, self._sure)))
+                        of = len(words) - words.count("~")
+                        marks.setdefault(kind, []).append((i, end, weight * (sure + self._sure) / of))
         best = {"abuse": 0.0, "hate": 0.0, "sexual": 0.0}
 
         def off(i: int) -> float:
@@ -113,6 +116,8 @@ class Scorer:
         for a, _, w in marks.get("abuse", ()):
             by_sentence[seen[a][0]] = max(by_sentence.get(seen[a][0], 0.0), w - off(a))
         for i, (s, d) in enumerate(seen):
+            if not d:
+                continue
             sure = max((v for w, v in d.items() if w in self.insults), default=0.0)
             if not sure or any(a <= i <= b + 6 for a, b in hated) and not self._addressed(seen, i):
                 continue
@@ -140,9 +145,9 @@ class Scorer:
         return best["abuse"], max(0.0, best["hate"]), best["sexual"]
 
     def _follow(self, seen: list[tuple[int, dict[str, float]]], i: int, words: list[str]) -> int | None:
-        """Last word of the phrase that begins at i, None if it isn't there. Its least certainty is kept in _sure."""
+        """Last word of the phrase that begins at i, None if it isn't there. The certainties of its words after the first are summed in _sure."""
         j, gap = i + 1, 0
-        self._sure = 1.0
+        self._sure = 0.0
         for w in words[1:]:
             if w == "~":
                 gap = 3
@@ -154,7 +159,7 @@ class Scorer:
                     break
             if hit is None:
                 return None
-            self._sure = min(self._sure, seen[hit][1][w])
+            self._sure += seen[hit][1][w]
             j, gap = hit + 1, 0
         return j - 1
 

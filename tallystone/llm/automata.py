@@ -1,7 +1,7 @@
 """Levenshtein automata intersected with a lexicon trie, and the undoing of disguises.
 
 The automaton of a token accepts every word within k edits (a swap of neighbours is one). Its states are sets of
-(letters read, edits) as tuples; running it over the trie visits only prefixes that can still be accepted. The result of
+(letters read, edits), one bit each; running it over the trie visits only prefixes that can still be accepted. The result of
 a token is kept, so the search runs once for each distinct token of a worker.
 """
 
@@ -16,11 +16,13 @@ LEET = str.maketrans("@4310$57!|", "aaeiosstil")
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿᠎͏]")
 _SPELLED = [re.compile(r"(?<!\w)\w(" + sign + r")\w(?:\1\w)+(?!\w)") for sign in (r"[.\-_*·]", " ")]
 _TAG = re.compile(r"<[^<>]{0,200}>")
-_TOKEN = re.compile("\u200b?[\\w@$*!|']*[\\w*]|[.!?;:\n]")
+_TOKEN = re.compile("\u200b?[\\w@$*!|']*[\\w*][@$]*|[.!?;:\n]")
 _RUN = re.compile(r"(\w)\1{2,}")
 _DOUBLE = re.compile(r"(\w)\1+")
 #: Certainty of a misspelled word: a full phrase (1.2), an insult of a group (1.1) and an addressed insult (0.55 + 0.5) still reach 1.
 MISSPELLED = 0.92
+#: Of a misspelled word of four letters, and of a mask that leaves one letter: flags only with other words of its phrase or further cues.
+GUESSED = 0.75
 
 
 def bare(text: str) -> str:
@@ -50,34 +52,39 @@ def _joined(m: re.Match) -> str:
 
 
 class LevenshteinAutomaton:
+    """A state holds, for each number of edits, the places in the word as bits, and the places where a swap was begun."""
+
     def __init__(self, word: str, k: int):
-        self.word, self.k = word, k
+        self.k, self.end, self.full = k, 1 << len(word), (2 << len(word)) - 1
+        self.at: dict[str, int] = {}
+        for i, c in enumerate(word):
+            self.at[c] = self.at.get(c, 0) | 1 << i
 
     def start(self) -> tuple:
-        return tuple(range(min(self.k, len(self.word)) + 1)) + (self.k + 1,) * max(0, len(self.word) - self.k), None, ""
+        return tuple((2 << e) - 1 & self.full for e in range(self.k + 1)) + (0,) * self.k
 
     def step(self, state: tuple, letter: str) -> tuple:
-        row, before, last = state
-        w, k = self.word, self.k
-        new = [min(row[0] + 1, k + 1)]
-        for i in range(1, len(row)):
-            cost = min(row[i - 1] + (w[i - 1] != letter), row[i] + 1, new[i - 1] + 1)
-            if before is not None and i > 1 and w[i - 1] == last and w[i - 2] == letter:
-                cost = min(cost, before[i - 2] + 1)
-            new.append(min(cost, k + 1))
-        return tuple(new), row, letter
+        k, at = self.k, self.at.get(letter, 0)
+        new, swaps = [(state[0] & at) << 1], []
+        for e in range(1, k + 1):
+            less = state[e - 1]
+            new.append(((state[e] & at) << 1 | less | less << 1 | new[-1] << 1 | (state[k + e] & at) << 2) & self.full)
+            swaps.append(less & at >> 1)
+        return (*new, *swaps)
 
     def accepts(self, state: tuple) -> bool:
-        return state[0][-1] <= self.k
+        return any(places & self.end for places in state[: self.k + 1])
 
     def alive(self, state: tuple) -> bool:
-        return min(state[0]) <= self.k or (state[1] is not None and min(state[1]) < self.k)
+        return any(state)
 
 
 class Trie:
     END = ""
 
-    def __init__(self, lexicon: set[str], ordinary: frozenset[str] = frozenset()):
+    def __init__(self, lexicon: set[str], ordinary: frozenset[str] = frozenset(), short: frozenset[str] = frozenset()):
+        """short: the words of four letters whose misspellings are looked for; those of others are too often other words."""
+        self.short = short
         self.root: dict = {}
         self.ordinary = ordinary - lexicon
         for w in lexicon:
@@ -91,11 +98,11 @@ class Trie:
             self.squeezed.setdefault(_DOUBLE.sub(r"\1", w), set()).add(w)
         self.cache: dict[str, dict[str, float]] = {}
 
-    def near(self, word: str, k: int) -> set[str]:
-        """Words within k edits that begin with the same letter."""
+    def near(self, word: str, k: int, anywhere: bool = False) -> set[str]:
+        """Words within k edits that begin with the same letter, or with any (anywhere)."""
         a, out = LevenshteinAutomaton(word, k), set()
-        node = self.root.get(word[:1])
-        stack = [(node, a.step(a.start(), word[0]))] if node is not None else []
+        node = self.root if anywhere else self.root.get(word[:1])
+        stack = [(node, a.start() if anywhere else a.step(a.start(), word[0]))] if node is not None else []
         while stack:
             node, state = stack.pop()
             for c, nxt in node.items():
@@ -134,19 +141,18 @@ class Trie:
     def _match(self, token: str) -> dict[str, float]:
         out: dict[str, float] = {}
         spelled = token.startswith("​")
-        t = token.lstrip("​").strip("*!|'")
-        if not t or len(t) > 40:
+        core = token.lstrip("​").strip("'")  # its signs at the ends may be letters: !diot, f***
+        t = core.strip("*!|@$'")
+        if not t or len(core) > 40:
             return out
         if t in self.words:
             return {t: 1.0}
-        if "*" in t:
-            return dict.fromkeys(self.masked(t), 1.0) if sum(c != "*" for c in t) >= 2 else out
-        forms = {t}
+        forms = {t, core}
         if spelled and len(t) > 3:
             forms.add(t[1:])
-        if any(c in "@4310$57!|" for c in t) and any(c.isalpha() for c in t):
+        if any(c in "@4310$57!|" for c in core) and any(c.isalpha() for c in core):
             for a in ("i", "l"):
-                forms.add(t.replace("1", a).translate(LEET))
+                forms |= {re.sub("[1!|]", a, f).translate(LEET) for f in (t, core)}
         for f in forms:
             if f in self.words:
                 out[f] = 1.0
@@ -155,10 +161,23 @@ class Trie:
                     out[w] = 1.0
         if out:
             return out
+        if "*" in core:
+            if t in self.ordinary:
+                return out  # a mark of a footnote or of emphasis
+            for f in forms:
+                shown = len(f) - f.count("*")
+                if "*" in f and (shown >= 2 or shown == 1 and 4 <= len(f) <= 6 and f[0] != "*"):
+                    for w in self.masked(f):
+                        out[w] = max(out.get(w, 0.0), 1.0 if shown >= 2 else GUESSED)
+            if out or "*" in t:
+                return out
+            forms = {t}
         for f in forms:
             f = _RUN.sub(r"\1", f)
-            if len(f) >= 5 and f.isalpha() and f not in self.ordinary:
-                for w in self.near(f, 1 if len(f) < 11 else 2):
-                    if len(w) >= 5 and w[0] == f[0]:
+            if len(f) >= 3 and f.isalpha() and f not in self.ordinary:
+                for w in self.near(f, 1 if len(f) < 11 else 2, anywhere=True):
+                    if len(w) >= 5 and len(f) >= 5:
                         out[w] = max(out.get(w, 0.0), MISSPELLED)
+                    elif len(w) >= 5 and len(f) == 4 or w in self.short:
+                        out[w] = max(out.get(w, 0.0), GUESSED)
         return out

@@ -214,3 +214,47 @@ ORDINARY = """price prices priced pride share change changes charged lower lower
 bridge counts count while where whose those drawn wager rates rate nicht entra donne cours toward crown crowns carbon
 batch slope interior closer close losses loses loss honey thorny things breath breaths patch pitch score prime
 parade paradise discussing certain clowns cloud court courts water waters leave leaves whole stuck drain wrote""".split()
+#: The same, by rule: words of public tokenizer vocabularies (English, German, French, Spanish) that a misspelled term could be.
+ORDINARY += """abort aire allege alleges ander animal anker annot apiece arab atheist aunt backs baked bales banker bankers banner
+bater batter bays beak beasts beide beige being belang bell belle belli bells belongs bench bene besser beter bever
+bigger bill billed binge birch bitten bitter blade blank bleak blend block blocked blocking blocks blonde blood blown
+blue blues blush bombs bonds bone bonus books boots boring born boron bother bould bout boxes brack brain brash brawl
+breaching bread breaks breast bred breeds brewed brick bricks brig bright brinc bringen brings brink brunch buck
+buffer bully bunt bure busted butter canker canned cannon cant case cases cass caste caster catch cater cause cent
+centre cents charg charger charges chef chick chicks chicos chiefs chin china chips choked chore chores chose chunk
+claps classe clever click clip clut coke collar comen complain complainant complains compliant cones conna connot cont
+corn coron cort could cour cout crabs cracks crank crash craw creed crew cringe crippled cult cum cure cures curt cust
+cut cute cuts dance dances datas days deck decks deine depart departed depot describe described deserved deserves
+dever dews dicht diese diesel diesem diesen dieser disable diseases ditch dives docking doing dollar done draining
+drains dressed drummer duck dude dudes dying eater eight eine elong emit enter entire entren entry espec especie
+espect estre eure ever exotic exting fair fairy fait faiths faked fare femme fera ferm fever fiance fifth fight figur
+figura figured files fill fille filled filler fills filt financed finances financi fique flick flips flown flying
+foreigner forme foto fragen freak freed freuen frick fright fringe fuer fuerza funk gain gals gaps garage gars gas
+gasped gene genre gent gentle gill ging girl gives glowing glut gotten grabs grain granny greed grote gute gutes guys
+habits hare haste hatch heure heures heute hews highs hill hinaus hire hires histor hitch hole homosexual horn horns
+hospitals hours howard hue huge humane humano hunch hunts hur hurd hurts ihren ill immigrant incompetence inland
+investigate investigates investigating investigations investigative investigator islands itch jaws jeden jelly jets
+jew jewe jorn jours junt juven kanske keinen keiner kell killer kills kiln kilo kilt kisses kitchens kitten kleine
+klick knee koll komen kunt lace lack lacked lacking lacks laser lasers latch later laying lays lesbian lessen letter
+leuke leve lever lick licking ligger light ling lips lives locker looked looking lose lover lovers luck lunch lure
+maar males manned mash masse masturbation mata match mater medio meine meio mente mentre metro might migrant mill
+missed mocked mocking moderators monde moon moons morbid mormon mothers mould muerte mute named newer news nich niche
+niece night nights node nodes nuda nudge nue nuke onde onder ones other ounce ounces ours ousted pace palace parti
+partic partie partis passe passed passer past paste pater pays peace peine pens peoples perks persona personal
+persones persons peuple photo photon photons piace pick picks picture pictured pieces pill pissed plac placed places
+plagued plane plaque plate plut polic police polity pon por pore pork port poser presses producer produces pron puck
+pue pues punch punt pure pushes put puts putt rack rain raining ranker rans rash rata rays reck reed refugee regard
+regards regenerate religions reported reserve resort resorts rever revolving reward rewards richt rights rigt ring
+rocked rocking rude runt rushed sabes salad salads salts salud salut sash saves says scaff scales scam scams scares
+scoot scree screen screenings screws seat seating seeker seine sente setback setting sever shades shakes shapes shards
+shared sharks shirt shook shoots shore shores short shouldn shout shrew shuts sick sighs sight sill single singled
+sinking sitten skill skilled skirts skulls slack slash slat slic slice slips slopes slot slots slug slum slums slur
+slurs smoot spat stack stares starter stash stick sticking stiff strangers struck stuff stuk sucked sucker sucking
+suffers sum summer sums sunt sure swat swatch swear sweats sweaty sweet swept swum tales tanker tankers taste tat teas
+temas tenth terme terra texting thank thats there thick thief thigh thin thing thinks thrash threat threw thro throats
+throb throws tierra tight till tink tones torn tossed tours towards track trailing train trainings trains tran traps
+trays trick tricks tuck tucked turkey twit tying tyranny unch unden unique unser unt unter used vaginal verein verme
+very vibes video vines vive vivid vying waiter wander wasted wastes watery ways weave welcomed welcomes whale wholes
+wicht witch wives woman wore world worn wouldn wound woven wreck wunder zitten zones""".split()
+#: Terms of four letters whose misspellings are looked for, at a lower certainty.
+SHORT = "kill scum cunt slut twat porn nude jews gays fuck puta pute hure slag".split()
