@@ -41,6 +41,7 @@ class Scorer:
             add(texts, "sexual", weight)
         add(L.GROUPS, "group", 1.0)
         add(L.CONTEMPT, "contempt", 1.0)
+        add(_plural(L.SLURS), "slur", 1.1)
         add(L.SELF, "self", 1.0)
         add(L.OPENERS, "opener", 0.5)
         self.reporting = set(L.REPORTING)
@@ -52,7 +53,7 @@ class Scorer:
         for p in self.phrases:
             self.first.setdefault(p[0][0], []).append(p)
         #: A text without any of these can't score: most texts end here.
-        self.telling = self.insults | {self._rarest(p) for p, kind, _ in self.phrases if kind in ("abuse", "sexual", "contempt")}
+        self.telling = self.insults | {self._rarest(p) for p, kind, _ in self.phrases if kind in ("abuse", "sexual", "contempt", "slur")}
         #: Tokens seen so far, and those among them that stand for a telling word.
         self.known: set[str] = set()
         self.hot: set[str] = set()
@@ -107,6 +108,8 @@ class Scorer:
 
         groups, contempt = marks.get("group", []), marks.get("contempt", [])
         hated: list[tuple[int, int]] = []
+        for a, _, w in marks.get("slur", ()):
+            best["hate"] = max(best["hate"], w - off(a))
         for a, b, s in groups:
             for c, e, w in contempt:
                 if max(a - e, c - b) <= WINDOW and seen[a][0] <= seen[c][0] + 1 and seen[c][0] <= seen[a][0] + 1:
