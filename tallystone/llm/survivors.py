@@ -1,9 +1,10 @@
 """One surviving record for each group of duplicates (problem 4).
 
 Records of a group are ranked by trust, recency and a deterministic tie-break in one window order. Completeness counts
-field by field: each field has a ranking of its own over the records that have a value. Ranks up to two are all that is
-asked for, so Spark limits each group before the shuffle (WindowGroupLimit): a group that holds a third of all rows
-reaches the ranking task with at most two rows a field from each map task.
+field by field: which fields of a record have a value is a mask of bits, and of the records of a group with one mask only
+the first two in the order can matter (the first as survivor or donor, the second for the size of the group). So Spark
+limits each group and mask before the shuffle (WindowGroupLimit): a group that holds a third of all rows reaches the
+ranking task with at most two rows a mask from each map task, and a record is one narrow row throughout.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallystone.functions.names import spelling
+from tallystone.runtime import key128
 
 #: Texts that are no value.
 PLACEHOLDERS = ["", "n/a", "-", "unknown"]
 FIELDS = ["val", "business_term_id", "ticker", "fiscal_year_end"]
 GROUP = ["_cik", "_start", "_end", "_concept", "_unit"]
-SURVIVOR = ""
+ORDER = ["is_superseded", "filed_date", "accession_number", "fact_id", "promoted_at"]
 
 
 def has_value(df: DataFrame, field: str) -> Column:
@@ -36,25 +38,32 @@ def trust_order() -> list[Column]:
     return [F.coalesce(F.col("is_superseded"), F.lit(False)).asc(), F.col("filed_date").desc_nulls_last(), F.col("accession_number").desc_nulls_last(), F.col("fact_id").desc_nulls_last(), F.col("promoted_at").desc_nulls_last()]
 
 
-def ranked(df: DataFrame, fields: list[str] = FIELDS) -> DataFrame:
-    """The first two records of each group and channel: the channel SURVIVOR ranks all records, each other channel those
-    with a value in its field. Columns: the group, channel, rank, fact_id and the field's value as text."""
-    cols = ["fact_id", "is_superseded", "filed_date", "accession_number", "promoted_at"]
+def ranked(df: DataFrame, fields: list[str] = FIELDS, values: bool = False) -> DataFrame:
+    """The first two records of each group and mask: the group as two hashes, the columns of the order, mask, and with
+    `values` the fields themselves as text."""
     g = fact_group(df)
-    channels = F.array(F.struct(F.lit(SURVIVOR).alias("channel"), F.lit(None).cast("string").alias("value")), *[F.when(has_value(df, f), F.struct(F.lit(f).alias("channel"), F.col(f).cast("string").alias("value"))) for f in fields])
-    rows = g.select(*GROUP, *cols, F.explode(F.filter(channels, lambda x: x.isNotNull())).alias("_c")).select(*GROUP, *cols, "_c.channel", "_c.value")
-    w = W.partitionBy(*GROUP, "channel").orderBy(*trust_order())
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 2)
-
-
-def merged(df: DataFrame, fields: list[str] = FIELDS) -> DataFrame:
-    """One row a group of two or more records: survivor_id, and for each field the donor's id and value (as text)."""
-    top = ranked(df, fields)
-    one = F.col("rank") == 1
-    aggs = [F.max(F.when((F.col("channel") == SURVIVOR) & one, F.col("fact_id"))).alias("survivor_id"), F.max(F.when(F.col("channel") == SURVIVOR, F.col("rank"))).alias("_n")]
-    for f in fields:
-        aggs.append(F.max(F.when((F.col("channel") == f) & one, F.struct("fact_id", "value"))).alias(f))
-    return top.groupBy(*GROUP).agg(*aggs).where(F.col("_n") == 2).drop("_n")
+    h1, h2 = key128(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in GROUP])
+    mask = F.lit(0)
+    for k, f in enumerate(fields):
+        mask = mask.bitwiseOR(F.when(has_value(df, f), 1 << k).otherwise(0))
+    kept = [*GROUP, *[F.col(f).cast("string").alias(f) for f in fields]] if values else []
+    rows = g.select(h1.alias("h1"), h2.alias("h2"), *ORDER, mask.cast("int").alias("mask"), *kept)
+    w = W.partitionBy("h1", "h2", "mask").orderBy(*trust_order())
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 2).drop("rank")
+
+
+def merged(df: DataFrame, fields: list[str] = FIELDS, values: bool = False) -> DataFrame:
+    """One row a group of two or more records: survivor_id, and for each field the donor's id, with `values` also the
+    donor's value (as text) in v_<field> and the group's key."""
+    w = W.partitionBy("h1", "h2").orderBy(*trust_order())
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    top = ranked(df, fields, values)
+    out = [F.row_number().over(w).alias("_at"), F.count(F.lit(1)).over(whole).alias("_n"), F.col("fact_id").alias("survivor_id")]
+    for k, f in enumerate(fields):
+        has = F.col("mask").bitwiseAND(1 << k) != 0
+        out.append(F.first(F.when(has, F.struct(F.col("fact_id").alias("id"), *([F.col(f).alias("value")] if values else []))), ignorenulls=True).over(whole).alias(f"d_{f}"))
+    m = top.select(*(GROUP if values else []), *out).where((F.col("_at") == 1) & (F.col("_n") > 1))
+    return m.drop("_at", "_n")
 
 
 def found(df: DataFrame, fields: list[str] = FIELDS) -> DataFrame:
@@ -63,12 +72,12 @@ def found(df: DataFrame, fields: list[str] = FIELDS) -> DataFrame:
     Null group keys equal null; a null flag is not superseded; nulls in the order come last; a field that no record of
     the group has gives no row; a group of one record gives none; an empty table gives no row. Records delivered twice
     are two records of a group."""
-    pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"{f}.fact_id").alias("donor_id"), F.col(f).isNotNull().alias("has")) for f in fields])
+    pairs = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"d_{f}.id").alias("donor_id"), F.col(f"d_{f}").isNotNull().alias("has")) for f in fields])
     return merged(df, fields).select("survivor_id", F.explode(pairs).alias("p")).where("p.has").select("survivor_id", "p.field_name", "p.donor_id").distinct()
 
 
 def golden(df: DataFrame, fields: list[str] = FIELDS) -> DataFrame:
     """The merged records: key, survivor_id and the chosen value of each field, typed as in the input."""
     kinds = dict(df.dtypes)
-    m = merged(df, fields)
-    return m.select(F.col("_cik").alias("cik"), F.col("_start").alias("start_date"), F.col("_end").alias("end_date"), F.col("_concept").alias("concept"), F.col("_unit").alias("unit"), "survivor_id", *[F.col(f"{f}.value").cast(kinds[f]).alias(f) for f in fields])
+    m = merged(df, fields, values=True)
+    return m.select(F.col("_cik").alias("cik"), F.col("_start").alias("start_date"), F.col("_end").alias("end_date"), F.col("_concept").alias("concept"), F.col("_unit").alias("unit"), "survivor_id", *[F.col(f"d_{f}.value").cast(kinds[f]).alias(f) for f in fields])
