@@ -64,8 +64,7 @@ def offsets(counts: DataFrame) -> DataFrame:
     """source, doc_id, n_tokens, start: place of each document's first token in the stream of its source, in an order
     given by a hash. A running total in two steps, so no source is in one task."""
     c = counts.where(F.col("n_tokens") > 0).withColumn("h", F.xxhash64("doc_id"))
-    total = c.count()
-    buckets = max(1, min(65_536, -(-total // BUCKET_DOCUMENTS)))
+    buckets = max(1, -(-c.count() // BUCKET_DOCUMENTS))
     c = c.withColumn("bucket", F.pmod("h", F.lit(buckets)))
     sums = c.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("s"))
     before = sums.select("source", "bucket", (F.sum("s").over(W.partitionBy("source").orderBy("bucket")) - F.col("s")).alias("before"))
@@ -173,7 +172,7 @@ class Mixture:
                 rows = [(int(g), k, int(c)) for g in b["id"] for k, c in enumerate(sum(draw(size_of(s), share, s, seed) for s in range(g * group, min(shards, (g + 1) * group))))]
                 yield pd.DataFrame(rows, columns=["g", "k", "c"])
 
-        ids = self.spark.range(0, groups, 1, max(1, min(groups, 256)))
+        ids = self.spark.range(0, groups, 1, max(1, groups))
         counted = cut(ids.mapInPandas(group_counts, "g long, k int, c long"))
         drawn = np.zeros(len(sources), np.int64)
         for r in counted.groupBy("k").agg(F.sum("c").alias("c")).collect():  # one row a source
@@ -202,7 +201,7 @@ class Mixture:
                         out.insert(0, "shard", shard)
                         yield out
 
-        return starts.repartition(max(1, min(groups, 256)), "g").mapInPandas(fill, "shard long, slot long, source string, repeat long, block long")
+        return starts.repartition(max(1, groups), "g").mapInPandas(fill, "shard long, slot long, source string, repeat long, block long")
 
     def selection(self) -> DataFrame:
         """shard, slot, source, repeat, block, doc_id, first_token, last_token: every part of a document that the mixture

@@ -6,11 +6,13 @@ import html
 import re
 import unicodedata
 
-_TAG = re.compile(r"<[^<>]{0,200}>")
+#: A tag of any length; "a < b" begins none.
+_TAG = re.compile(r"</?[A-Za-z!?][^<>]*>")
 _MARK = re.compile(r"[*_`#|~]+")
 #: Inside a word these don't part it: 72.18, re-exports, it's, 1,018.
 _INNER = re.compile(r"(?<=\w)[.,'’‐‑-](?=\w)")
-_BREAK = re.compile(r"(?<=\w)-\s*\n\s*(?=[a-z])")
+#: A word parted at the end of a line.
+_BREAK = re.compile(r"(?<=\w)[-‐‑][^\S\n]*\n\s*(?=\w)")
 _WORD = re.compile(r"\w+")
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿᠎͏]")
 
@@ -30,4 +32,7 @@ def words(text: str | None) -> list[str]:
     """Null and empty texts have no words."""
     if not text:
         return []
-    return _WORD.findall(_INNER.sub("", plain(text)))
+    flat = plain(text)
+    if "\n" in flat:
+        flat = _BREAK.sub("", flat)
+    return _WORD.findall(_INNER.sub("", flat))

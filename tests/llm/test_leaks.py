@@ -65,3 +65,13 @@ def test_found_in_blocks(spark):
     assert one == [(1, 1), (4, 1)] == sorted(tuple(r) for r in L.found(d, items, block_words=10).collect())
     assert L.found(d.limit(0), items).collect() == [] == L.found(d, items.limit(0)).collect()
     assert [tuple(r) for r in L.report(d, items).collect()] == [(1, "s", 2, 1)]
+
+
+def test_broken_lines_and_long_tags():
+    b = L.Block([7], [ITEM])
+    w = ITEM.split()
+    hyphened = " ".join(x[:3] + "-\n  " + x[3:] if x.isalpha() and len(x) > 5 else x for x in w)
+    assert "-\n" in hyphened and b.search(hyphened) == [7]
+    tag = "<div style='" + "x" * 5000 + "'>"
+    assert b.search(" ".join(w[:14]) + tag + " ".join(w[14:28])) == [7]
+    assert words("margin < 5% and growth > 3%") == ["margin", "5", "and", "growth", "3"]
