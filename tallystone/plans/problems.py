@@ -32,6 +32,10 @@ def p2_concepts(spark: SparkSession, d: str) -> DataFrame:
     return nested.Nested(table(spark, d, "company_fact_files")).concepts()
 
 
+def p2_parts(spark: SparkSession, d: str) -> DataFrame:
+    return nested.Nested(table(spark, d, "company_fact_files")).parts()
+
+
 def p2_companies(spark: SparkSession, d: str) -> DataFrame:
     return nested.Nested(table(spark, d, "company_fact_files")).companies()
 
@@ -64,7 +68,7 @@ def p6_scores(spark: SparkSession, d: str) -> DataFrame:
     return readings.scores(table(spark, d, "xbrl_company_facts"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_profile, p2_found, p2_observations, p2_concepts, p2_companies, p3_found, p3_report, p5_found, p5_values, p6_found, p6_scores)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_profile, p2_found, p2_observations, p2_concepts, p2_companies, p2_parts, p3_found, p3_report, p5_found, p5_values, p6_found, p6_scores)}
 
 _DOMAIN = "fiscal_period IN ('Q1', 'Q2', 'Q3', 'Q4', 'FY')"
 _FORMS = "('10-K', '10-Q', '10-K/A', '10-Q/A', '10-KT', '8-K', '8-K/A', '20-F', '20-F/A', '40-F', '6-K')"
@@ -86,7 +90,21 @@ FROM j LEFT JOIN k ON j.cik = k.cik AND j.fiscal_year = k.fiscal_year AND j.fisc
 _AS_OF = f"""WITH f AS (SELECT cik, {_spelling("concept")} AS c, {_spelling("unit")} AS u, end_date, filed_date, accession_number, fact_id FROM financial_facts), r AS (SELECT request_id, cik, {_spelling("concept")} AS c, {_spelling("unit")} AS u, CAST(requested_at AT TIME ZONE 'UTC' AS DATE) AS d FROM metric_requests)
 SELECT r.request_id, f.fact_id FROM r JOIN f ON r.cik = f.cik AND r.c = f.c AND r.u = f.u AND f.filed_date <= r.d QUALIFY row_number() OVER (PARTITION BY r.request_id ORDER BY f.end_date DESC NULLS LAST, f.filed_date DESC, f.accession_number DESC NULLS LAST, f.fact_id DESC NULLS LAST) = 1"""
 
+#: The documents of the test tables come bare, as a JSON string, in a list of one or in an envelope `data`.
+_NESTED = r"""WITH t AS (SELECT file_no, file_name, trim(ltrim(trim(payload, ' ' || chr(10) || chr(13) || chr(9)), chr(65279)), ' ' || chr(10) || chr(13) || chr(9)) AS p FROM company_fact_files WHERE payload IS NOT NULL),
+v AS (SELECT file_no, file_name, CASE WHEN json_valid(p) THEN p::JSON END AS j FROM t),
+a AS (SELECT file_no, file_name, CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j->>'$') THEN (j->>'$')::JSON END ELSE j END AS j FROM v),
+b AS (SELECT file_no, file_name, CASE WHEN json_type(j) = 'ARRAY' THEN j->'$[0]' ELSE j END AS j FROM a),
+d AS (SELECT file_no, file_name, CASE WHEN json_exists(j, '$.facts') OR json_exists(j, '$.cik') OR json_exists(j, '$.entityName') THEN j ELSE j->'data' END AS j FROM b),
+x AS (SELECT file_no, coalesce(try_cast(try_cast(j->>'$.cik' AS DOUBLE) AS INTEGER), try_cast(regexp_extract(file_name, '[0-9]+') AS INTEGER)) AS cik, j->'facts' AS f FROM d),
+tx AS (SELECT file_no, cik, e.key AS taxonomy, e.value AS v FROM x, json_each(x.f) e WHERE json_type(x.f) = 'OBJECT'),
+cx AS (SELECT file_no, cik, taxonomy, e.key AS concept, e.value->'units' AS v FROM tx, json_each(tx.v) e WHERE json_type(tx.v) = 'OBJECT' AND json_type(e.value) = 'OBJECT'),
+ux AS (SELECT file_no, cik, taxonomy, concept, e.key AS unit, CASE WHEN json_type(e.value) = 'OBJECT' THEN json_array(e.value) ELSE e.value END AS v FROM cx, json_each(cx.v) e WHERE json_type(cx.v) = 'OBJECT'),
+ox AS (SELECT file_no, cik, taxonomy, concept, unit, e.key::INTEGER AS obs_no, e.value AS o FROM ux, json_each(ux.v) e WHERE json_type(ux.v) = 'ARRAY')
+SELECT DISTINCT file_no, cik, taxonomy, concept, unit, obs_no FROM ox WHERE json_type(o) = 'OBJECT' AND trim(coalesce(o->>'end', '')) <> '' AND try_cast(replace(replace(o->>'val', ',', ''), ' ', '') AS DOUBLE) IS NOT NULL"""
+
 SQL: dict[str, str] = {
+    "p2_found": _NESTED,
     "p1_found": f"""WITH x AS ({_LOADS}), n AS (SELECT c, load_date, v, count(*) AS n FROM x WHERE load_date IS NOT NULL GROUP BY ALL), l AS (SELECT c, load_date, sum(n) AS n, coalesce(sum(n) FILTER (v IS NOT NULL), 0) AS f FROM n GROUP BY ALL),
 t AS (SELECT c, sum(n) AS n, sum(f) AS f FROM l GROUP BY c), vv AS (SELECT DISTINCT c, v FROM n WHERE v IS NOT NULL),
 s AS (SELECT l.c, l.load_date, sum(abs(coalesce(a.n, 0) / l.f - (w.n - coalesce(a.n, 0)) / (t.f - l.f))) / 2 AS shift FROM l JOIN t ON t.c = l.c JOIN vv ON vv.c = l.c JOIN (SELECT c, v, sum(n) AS n FROM n GROUP BY ALL) w ON w.c = l.c AND w.v = vv.v LEFT JOIN n a ON a.c = l.c AND a.load_date = l.load_date AND a.v = vv.v WHERE l.f > 0 AND t.f > l.f GROUP BY l.c, l.load_date)
