@@ -35,6 +35,11 @@ def versions(facts: DataFrame, key: list[Column], available: Column, order: list
     return stage(changed.select("h1", "h2", F.unix_date("day").alias("day"), F.col("s._value").alias("value")), "states")  # counted, then joined
 
 
+def utc_day(c: Column, kind: str) -> Column:
+    """The day in UTC, whatever the session's time zone is; times without a zone count as UTC."""
+    return F.to_date(c) if kind in ("date", "timestamp_ntz") else F.date_from_unix_date(F.floor(F.unix_micros(c) / F.lit(86_400_000_000)).cast("int"))
+
+
 def join(events: DataFrame, key: list[Column], day: Column, event_id: str, states: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
     """event_id, value: the state valid on the event's day, null where nothing was known. Each event row once."""
     h1, h2 = key128(*[F.coalesce(k, F.lit("\u0000")) for k in key])
@@ -42,13 +47,13 @@ def join(events: DataFrame, key: list[Column], day: Column, event_id: str, state
     for k in key[1:]:
         none = none | k.isNull()
     e = events.select(F.col(event_id).alias("event_id"), F.when(~none, h1).otherwise(F.xxhash64(event_id)).alias("h1"), F.when(~none, h2).otherwise(F.lit(0).cast("long")).alias("h2"), F.coalesce(F.unix_date(day), F.lit(-(2**31))).alias("day"))
-    many, few = spread(e, states, "h1", ["event_id"], per_task)
+    many, few = spread(e, states, ["h1", "h2"], ["event_id"], per_task)
     kind = dict(events.dtypes)[event_id]
 
     def one_bucket(event: pa.Table, state: pa.Table) -> pa.Table:
         import duckdb
 
-        with duckdb.connect(config={"threads": 1, "memory_limit": MEMORY}) as con:
+        with duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""}) as con:  # buckets fit: nothing goes to a local folder
             con.register("event", event)
             con.register("state", state)
             got = con.sql("SELECT event.event_id, state.value FROM event ASOF LEFT JOIN state ON event.h1 = state.h1 AND event.h2 = state.h2 AND event.day >= state.day").to_arrow_table()
@@ -66,7 +71,7 @@ def found(requests: DataFrame, facts: DataFrame) -> DataFrame:
     f = facts.select("cik", "concept", "unit", "end_date", "filed_date", "accession_number", "fact_id")
     states = versions(f, names, F.col("filed_date"), ["end_date", "filed_date", "accession_number"], "fact_id")
     r = requests.select("request_id", "cik", "concept", "unit", "requested_at")
-    got = join(r, names, F.to_date("requested_at"), "request_id", states)
+    got = join(r, names, utc_day(F.col("requested_at"), dict(r.dtypes)["requested_at"]), "request_id", states)
     return got.where(F.col("value").isNotNull()).select(F.col("event_id").alias("request_id"), F.col("value").alias("fact_id")).distinct()
 
 

@@ -1,7 +1,8 @@
 """References to records that don't exist (problem 3).
 
-Parent keys are range-partitioned by hash and held as sorted arrays, one for each range; references come in batches of
-columns and are probed by binary search. A parent table that is proven small is one sorted array for all ranges.
+Parents and references are range-partitioned by key. In each range the parents are one array, sorted once; the references
+of the range come after them in batches of columns, and the distinct keys of a batch are probed by binary search. A key that
+very many rows refer to is split among tasks, its parent going along to each.
 """
 
 from __future__ import annotations
@@ -14,66 +15,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallystone.operators.buckets import ROWS_PER_TASK, spread
-from tallystone.runtime import key128, small, stage
-
-
-def binary_search(h1: np.ndarray, h2: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
-    """Place of each key (h1, h2) among parents sorted by (p1, p2), -1 where absent."""
-    out = np.full(len(h1), -1)
-    if not len(p1) or not len(h1):
-        return out
-    at = np.searchsorted(p1, h1)
-    for _ in range(64):  # parents that share the first hash are neighbours; there is hardly ever more than one
-        ok = at < len(p1)
-        ok[ok] = p1[at[ok]] == h1[ok]
-        ok &= out < 0
-        if not ok.any():
-            break
-        hit = ok.copy()
-        hit[ok] = p2[at[ok]] == h2[ok]
-        out[hit] = at[hit]
-        at = at + 1
-    return out
-
-
-def _norm_key(*cols: Column) -> list[Column]:
-    """Null equals null in keys."""
-    return [F.coalesce(c.cast("string"), F.lit("\u0000")) for c in cols]
+from tallystone.operators.buckets import ROWS_PER_TASK, hot_keys, split_hot, tasks_for
+from tallystone.runtime import stage
+
+
+def binary_search(keys: np.ndarray, parents: np.ndarray) -> np.ndarray:
+    """Place of each key among the sorted parents, -1 where absent."""
+    if not len(parents) or not len(keys):
+        return np.full(len(keys), -1)
+    at = np.searchsorted(parents, keys)
+    inside = np.minimum(at, len(parents) - 1)
+    return np.where(parents[inside] == keys, inside, -1)
+
+
+def text_key(*cols: Column) -> Column:
+    """One text of several columns, different for different values; null equals null."""
+    parts = []
+    for c in cols:
+        t = c.cast("string")
+        parts.append(F.coalesce(F.concat(F.lit("="), F.regexp_replace(t, "\u0001", "\u0001\u0001")), F.lit("")))
+    return F.concat_ws(" \u0001 ", *parts)
+
+
+def _probe_range(batches: Iterator[pa.RecordBatch], names: list[str], carried: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of one range, parents before references, each sorted by key."""
+    held: list[pa.Table] = []
+    parents, own = None, None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        side = np.asarray(t["_side"])
+        ahead = int(np.searchsorted(side, 1))  # parents come first
+        if ahead:
+            held.append(t.slice(0, ahead).select(["_key", *carried]))
+        refs = t.slice(ahead)
+        if not len(refs):
+            continue
+        if parents is None:
+            own = pa.concat_tables(held) if held else t.slice(0, 0).select(["_key", *carried])
+            parents, held = own["_key"].to_numpy(), []
+        keys = refs["_key"].combine_chunks().dictionary_encode()
+        at = binary_search(keys.dictionary.to_numpy(zero_copy_only=False), parents)[np.asarray(keys.indices)]
+        place = pa.array(np.maximum(at, 0), mask=at < 0)
+        cols = {n: refs[n] for n in names} | {"found": pa.array(at >= 0)}
+        for n in carried:
+            cols[n] = own[n].combine_chunks().take(place) if len(own) else pa.nulls(len(at), own[n].type)
+        yield from pa.table(cols).to_batches()
 
 
 def probe(references: DataFrame, ref_key: list[Column], parents: DataFrame, parent_key: list[Column], carry: list[str], spread_by: list[str], per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Each reference row with `found` and, of its parent, the columns `carry` (null where none). parents has one row a
     key. Every reference comes back exactly once."""
-    a1, a2 = key128(*_norm_key(*ref_key))
-    b1, b2 = key128(*_norm_key(*parent_key))
-    refs = references.withColumn("_h1", a1).withColumn("_h2", a2)
-    par = parents.select(b1.alias("_h1"), b2.alias("_h2"), *[F.col(c) for c in carry])
-    schema = ", ".join(f"`{n}` {t}" for n, t in references.dtypes) + ", found boolean" + "".join(f", `{n}` {t}" for n, t in parents.dtypes if n in carry)
     names = [n for n, _ in references.dtypes]
-    carried = [n for n, _ in parents.dtypes if n in carry]
-
-    def look_up(ref: pa.Table | pa.RecordBatch, h: pa.Table) -> pa.Table:
-        p1, p2 = h["_h1"].to_numpy(), h["_h2"].to_numpy()
-        o = np.lexsort((p2, p1))
-        at = binary_search(np.asarray(ref["_h1"]), np.asarray(ref["_h2"]), p1[o], p2[o])
-        place = pa.array(np.where(at < 0, 0, o[np.maximum(at, 0)] if len(o) else 0), mask=at < 0)
-        cols = {n: ref[n] for n in names} | {"found": pa.array(at >= 0)}
-        for n in carried:
-            c = h[n].combine_chunks() if isinstance(h[n], pa.ChunkedArray) else h[n]
-            cols[n] = c.take(place) if len(o) else pa.nulls(len(at), c.type)
-        return pa.table(cols)
-
-    if small(par):
-        table = par.toArrow()  # proven to be within the bound just above
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield from look_up(b, table).to_batches()
-
-        return refs.mapInArrow(run, schema)
-    many, few = spread(refs, par, "_h1", spread_by, per_task)
-    return many.groupBy("_bucket", "_part").cogroup(few.groupBy("_bucket", "_part")).applyInArrow(lambda r, h: look_up(r, h), schema)
+    kinds = dict(parents.dtypes)
+    refs = references.withColumn("_key", text_key(*ref_key))
+    par = parents.select(text_key(*parent_key).alias("_key"), *[F.col(c) for c in carry])
+    n, hot = hot_keys(refs, ["_key"], per_task)
+    many, few = split_hot(refs, par, ["_key"], hot, spread_by)
+    both = few.withColumn("_side", F.lit(0)).unionByName(many.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    ranges = both.repartitionByRange(tasks_for(refs, n + par.count(), per_task), "_key", "_part").sortWithinPartitions("_side", "_key")
+    schema = ", ".join(f"`{c}` {t}" for c, t in references.dtypes) + ", found boolean" + "".join(f", `{c}` {kinds[c]}" for c in carry)
+    return ranges.mapInArrow(lambda b: _probe_range(b, names, carry), schema)
 
 
 def _clean(c: Column) -> Column:

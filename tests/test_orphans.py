@@ -58,11 +58,11 @@ def brute(fin, rat):
     return out
 
 
-@pytest.mark.parametrize("way", ["broadcast", "ranges", "split"])
+@pytest.mark.parametrize("way", ["one", "ranges", "split"])
 def test_found_is_brute_force(spark, monkeypatch, way):
     fin, rat = data()
-    if way != "broadcast":
-        monkeypatch.setattr(O, "small", lambda df: False)
+    if way == "ranges":
+        monkeypatch.setattr(O, "tasks_for", lambda *a: 7)
     frames = [spark.createDataFrame(x, s) for x, s in ((fin, FIN), (rat, RAT), (TERMS, TERM))]
     c = O.classify(*frames, per_task=20 if way == "split" else 100_000)
     got = {(r["table_name"], r["column_name"], r["record_id"], r["kind"]) for r in c.collect() if r["kind"]}
@@ -86,6 +86,25 @@ def test_report_adds_up(spark):
     assert all(x["n_rows"] <= x["n_references"] for x in r)
 
 
-def test_binary_search_with_shared_first_hash():
-    p1, p2 = np.array([5, 5, 5, 9]), np.array([1, 2, 3, 1])
-    assert O.binary_search(np.array([5, 5, 9, 4, 5]), np.array([3, 1, 1, 1, 7]), p1, p2).tolist() == [2, 0, 3, -1, -1]
+def test_binary_search():
+    p = np.array(["a", "c", "cc", "é"], object)
+    assert O.binary_search(np.array(["c", "", "z", "é", "a", "cc"], object), p).tolist() == [1, -1, -1, 3, 0, 2]
+    assert O.binary_search(np.array(["x"], object), p[:0]).tolist() == [-1]
+
+
+def test_only_hot_keys_are_repeated(spark):
+    from tallystone.operators.buckets import hot_keys, split_hot
+
+    many = spark.createDataFrame([("hot", i) for i in range(100)] + [(f"k{i}", i) for i in range(200)], "k string, i int")
+    few = spark.createDataFrame([("hot",)] + [(f"k{i}",) for i in range(400)], "k string")
+    n, hot = hot_keys(many, ["k"], 20)
+    a, b = split_hot(many, few, ["k"], hot, ["i"])
+    assert n == 300 and [tuple(r) for r in hot.collect()] == [("hot", 5)]
+    assert a.count() == 300 and b.count() == 400 + 5
+    assert a.where("k = 'hot'").select("_part").distinct().count() == 5 and a.where("k <> 'hot'").select("_part").distinct().count() == 1
+
+
+def test_text_keys_differ(spark):
+    rows = [("a", "b"), ("a\u0001", "b"), ("a", "\u0001b"), (None, "ab"), ("ab", None), (None, None), ("", None), ("", "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(O.text_key(df.x, df.y).alias("k")).distinct().count() == len(rows)
