@@ -63,8 +63,9 @@ def test_empty(spark):
 def test_scores_do_not_depend_on_the_chunk():
     x = np.r_[walk(1), walk(2), walk(3)]
     s = np.repeat([0, 1, 2], 32)
-    whole = R.examine(s, x, x)["score"].values
-    alone = R.examine(np.zeros(32, int), np.array(walk(2)), np.array(walk(2)))["score"].values
+    day = np.tile(np.arange(32), 3)
+    whole = R.examine(s, day, x)["score"].values
+    alone = R.examine(np.zeros(32, int), day[:32], np.array(walk(2)))["score"].values
     assert np.allclose(whole[32:64], alone)
 
 
@@ -83,3 +84,34 @@ def test_whole_series_are_not_cut():
     parts = list(R._whole_series(iter([b.iloc[:5], b.iloc[5:12], b.iloc[12:]]), chunk=4))
     assert sum(map(len, parts)) == 21
     assert sorted(k for p in parts for k in p["k1"].unique()) == [1, 2, 3]
+
+
+def test_the_forest_decides(spark, monkeypatch):
+    """A seasonal peak has its like a year before or after: far from its neighbours, but not isolated."""
+    r = np.random.default_rng(11)
+    rows = []
+    for c in range(12):
+        v = (1000 + r.normal(0, 4, 32)).tolist()
+        for k in range(3, 32, 4):
+            v[k] += 40 + 3 * c
+        if c % 3 == 0:
+            v[13] *= 1.5
+        rows += series(c, "Debt", v, 100 * c)
+    spikes = {(100 * c + 13, "spike") for c in (0, 3, 6, 9)}
+    x = np.array([row[7] for row in rows])
+    s, day = np.repeat(np.arange(12), 32), np.tile(np.arange(32), 12)
+    flagged = lambda: {(100 * int(s[k]) + int(day[k]), "spike") for k in np.flatnonzero(R.examine(s, day, x)["spike"])}
+    assert found(spark, rows) == flagged() == spikes
+    monkeypatch.setattr(R, "SUSPECT", -1.0)  # the forest switched off
+    assert len(flagged()) > 3 * len(spikes)
+
+
+def test_every_reading_is_scored(spark):
+    a = walk(8)
+    rows = series(1, "Debt", a) + [(50, 1, "Debt", "USD", None, quarters(32)[9], dt.date(2014, 1, 1), a[9] * 1000, "x"), (51, 1, "Debt", "USD", None, quarters(32)[9], dt.date(2014, 1, 1), a[9] * 50, "x"), (52, 1, "Debt", "USD", None, None, None, 5.0, "x"), (53, 1, "Debt", "USD", None, None, None, float("inf"), "x"), (54, 1, "Debt", "USD", None, None, None, None, "x")]
+    odd = [(60 + k, 2, "Flow", "USD", dt.date(2010, 1, 1) + dt.timedelta(days=140 * k), dt.date(2010, 1, 1) + dt.timedelta(days=140 * k + 130), dt.date(2026, 1, 1), v * (10 if k == 9 else 1), "x") for k, v in enumerate(walk(9, 20))]
+    year = [(90 + k, 3, "Flow", "USD", dt.date(2000 + k, 1, 1), dt.date(2000 + k, 12, 31), dt.date(2026, 1, 1), v, "x") for k, v in enumerate(walk(10, 10))]
+    got = {r["row_no"]: r["score"] for r in R.scores(spark.createDataFrame(rows + odd + year, SCHEMA)).collect()}
+    assert set(got) == {r[0] for r in rows + odd + year} - {54}
+    assert got[52] is None and got[53] == 1.0 and min(got[50], got[51], got[69]) > R.SUSPECT
+    assert found(spark, rows + odd + year) == {(50, "spike"), (51, "spike"), (53, "impossible"), (69, "spike")}
