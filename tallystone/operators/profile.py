@@ -1,12 +1,19 @@
 """Column profile with induced expressions (problem 1).
 
-Every distinct value of a column is described by the cheapest of four descriptions, in bits: the values themselves,
-one set of characters a position, one class a position, or runs of classes. The choice is made bottom-up by minimum
-description length over all distinct values, as aggregates that combine before the shuffle; no value list reaches a
-single task or the driver. Loads are compared by the rows that each expression covers.
-
-A declared domain is part of the model: an expression never covers values of the domain and values outside it. So
-"Q5" can't hide under Q[1-4], and what lies outside the domain still gets expressions of its own for the report.
+Expressions are induced from the data alone. Each distinct value of a column is cut into fields (runs of capitals, of small
+letters, of digits, other signs one by one); values with one sequence of fields have one shape. A part of an expression (a
+shape, or a text in a field of it) is established where naming it costs at most COST bits a row in more than half of the
+loads: log2(rows of the column / rows of the part), the share taken at the lower end of what chance allows. In each field of
+an established shape description length decides between spelling every text out by a class of characters, and listing the
+established texts as alternatives of the model, the others spelled out as exceptions. All of this is aggregates that combine
+before the shuffle; what is established is bounded by 2**COST parts a column and load, so no list of values reaches a single
+task or the driver.
+
+A value conforms if its shape is established and each of its fields holds an alternative, or belongs to a class that is
+established itself. The declared domain plays no part in this. It is asked last: rows of nonconforming expressions are
+suspects, and those of them that the domain excludes are violations. What lies outside the domain but became a rule of the
+column (more than one row in 2**COST in most loads) is thus no violation of the induced expressions; expressions() shows it,
+load by load.
 """
 
 from __future__ import annotations
@@ -20,10 +27,14 @@ from pyspark.sql import functions as F
 
 from tallystone.runtime import cut, maybe_broadcast, stage
 
-#: Positions with a character set of their own; longer values are described by classes or runs.
-POSITIONS = 12
-#: Expressions that cover a smaller share of a column's rows are nonconforming even where no domain is declared.
-RARE = 0.002
+#: Bits a row that an established expression may cost: one row in 64.
+COST = 6.0
+#: Standard deviations by which a share may be due to chance.
+CHANCE = 3.0
+#: Bits of a character in the model.
+CHARACTER = 8.0
+#: Fields of a value beyond this many are one field.
+FIELDS = 40
 NULL_GAP, SHIFT_GAP = 0.05, 0.25
 
 
@@ -77,88 +88,85 @@ def _by_column(specs: list[Spec], make: Callable[[Spec], Column | None], default
     return default if out is None else out.otherwise(default)
 
 
-def _shape(v: Column) -> Column:
-    """Classes of characters, position by position: U, l, 9, others as they are."""
-    return F.translate(v, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "U" * 26 + "l" * 26 + "9" * 10)
-
-
-def _runs(shape: Column) -> Column:
-    return F.regexp_replace(shape, r"([Ul9])\1+", "$1")
+def _field_class(c: Column) -> Column:
+    """Class of a field by its first character: U, l, 9, or the sign itself."""
+    return F.when(c.rlike("^[A-Z]"), F.lit("U")).when(c.rlike("^[a-z]"), F.lit("l")).when(c.rlike("^[0-9]"), F.lit("9")).otherwise(c)
 
 
 def _escape(c: Column) -> Column:
     return F.regexp_replace(c, r"([\\^$.|?*+()\[\]{}])", r"\\$1")
 
 
-def _inside(specs: list[Spec]) -> Column:
-    """Does the declared domain hold the value? Without a domain every value is inside."""
-    v = F.col("value")
-    return F.coalesce(_by_column(specs, lambda s: s.inside(v) if s.inside else None, F.lit(True)), F.lit(False)) & (F.col("context") == "")
+def _classy(fields: Column) -> Column:
+    """Fields as classes of characters: one, or a run."""
+    plus = lambda x: F.when(F.length(x) > 1, "+").otherwise("")
+    return F.array_join(F.transform(fields, lambda x: F.when(x.rlike("^[A-Z]+$"), F.concat(F.lit("[A-Z]"), plus(x))).when(x.rlike("^[a-z]+$"), F.concat(F.lit("[a-z]"), plus(x))).when(x.rlike("^[0-9]+$"), F.concat(F.lit("[0-9]"), plus(x))).when(F.length(x) == 1, _escape(x)).otherwise(".+")), "")
 
 
-def induce(counts: DataFrame, specs: list[Spec]) -> DataFrame:
-    """Expressions by minimum description length.
-
-    One row a group of distinct values: column_name, inside, context, runs, shape (null where one expression covers the
-    whole group of runs), level, expression, n_values, n_rows, bits, share (of the column's non-null rows)."""
+def _values(counts: DataFrame, load: str) -> DataFrame:
+    """Lines of counts with a value, plus fields, shape and the load as text. The rest of a value with very many fields is
+    one field."""
     v = F.col("value")
-    values = counts.where(v.isNotNull()).groupBy("column_name", "value", "context").agg(F.sum("n").alias("n")).withColumn("inside", _inside(specs))
-    masks = []
-    for p in range(POSITIONS):
-        code = F.ascii(F.substring(v, p + 1, 1))
-        bit = F.expr(f"shiftleft(1L, pmod(ascii(substring(value, {p + 1}, 1)), 64))")
-        masks += [F.bit_or(F.when(code < 64, bit).otherwise(F.lit(0).cast("long"))).alias(f"a{p}"), F.bit_or(F.when((code >= 64) & (code < 128), bit).otherwise(F.lit(0).cast("long"))).alias(f"b{p}")]
-    groups = values.withColumn("shape", _shape(v)).withColumn("runs", _runs(F.col("shape"))).groupBy("column_name", "inside", "context", "runs", "shape").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows"), F.min("value").alias("least"), *masks)
-    size = F.length("shape")
-    classes = F.length(F.regexp_replace("shape", "[^Ul]", "")) * F.log2(F.lit(26.0)) + F.length(F.regexp_replace("shape", "[^9]", "")) * F.log2(F.lit(10.0))
-    n = F.col("n_values").cast("double")
-    short = (size <= POSITIONS) & ~F.col("shape").rlike(r"[^\x00-\x7f]")
-    per = [F.when(size > p, F.bit_count(F.col(f"a{p}")) + F.bit_count(F.col(f"b{p}"))).otherwise(1) for p in range(POSITIONS)]
-    sets_model, sets_data = F.lit(0.0), F.lit(0.0)
-    for p, k in enumerate(per):
-        sets_model = sets_model + F.when(size > p, 8.0 * k).otherwise(0.0)
-        sets_data = sets_data + F.log2(F.greatest(k, F.lit(1)).cast("double"))
-    run_count = F.length("runs")
-    groups = (
-        groups.withColumn("b_literal", 8.0 * size * n + n * F.log2(n))
-        .withColumn("b_sets", F.when(short, sets_model + n * sets_data))
-        .withColumn("b_classes", 8.0 * size + n * classes)
-        .withColumn("b_runs", n * (classes + 2.0 * run_count * F.log2(size / F.greatest(run_count, F.lit(1)) + 1.0)))
-        .withColumn("best", F.least("b_literal", F.coalesce("b_sets", F.col("b_literal")), "b_classes"))
-    )
-    groups = stage(groups, "shapes")
-    whole = ["column_name", "inside", "context", "runs"]
-    sums = groups.groupBy(*whole).agg(F.sum("best").alias("_fine"), (F.sum("b_runs") + 8.0 * F.length("runs")).alias("_runs"))
-    groups = groups.join(sums, whole)
-    chars = F.lit("")
-    for p in range(POSITIONS):
-        members = F.expr(f"concat(filter(transform(sequence(0,63), i -> if(shiftright(a{p}, i) & 1L = 1L, char(i), '')), x -> x <> ''), filter(transform(sequence(0,63), i -> if(shiftright(b{p}, i) & 1L = 1L, char(i + 64), '')), x -> x <> ''))")
-        one = F.when(F.size(members) == 1, _escape(F.element_at(members, 1))).otherwise(F.concat(F.lit("["), F.regexp_replace(F.array_join(members, ""), r"([\\\]\[^-])", r"\\$1"), F.lit("]")))
-        chars = F.concat(chars, F.when(size > p, one).otherwise(""))
-
-    def classy(c: Column, plus: str) -> Column:
-        spread = F.transform(F.filter(F.split(c, ""), lambda x: x != ""), lambda x: F.when(x == "U", F.lit("[A-Z]" + plus)).when(x == "l", F.lit("[a-z]" + plus)).when(x == "9", F.lit("[0-9]" + plus)).otherwise(_escape(x)))
-        return F.array_join(spread, "")
-
-    level = F.when(F.col("_runs") < F.col("_fine"), "runs").when(F.col("b_sets") == F.col("best"), "sets").when(F.col("b_literal") == F.col("best"), "literal").otherwise("classes")
-    groups = groups.withColumn("level", level)
-    text = F.when(F.col("level") == "runs", classy(F.col("runs"), "+")).when((F.col("level") == "literal") & (F.col("n_values") == 1), _escape(F.col("least"))).when(F.col("level").isin("sets", "literal") & short, chars).otherwise(classy(F.col("shape"), ""))
-    out = (
-        groups.withColumn("expression", F.concat(text, F.when(F.col("context") != "", F.concat(F.lit(" "), "context")).otherwise("")))
-        .groupBy("column_name", "inside", "context", "runs", F.when(F.col("level") != "runs", F.col("shape")).alias("shape"), "level", "expression")
-        .agg(F.sum("n_values").alias("n_values"), F.sum("n_rows").alias("n_rows"), F.sum(F.when(F.col("level") == "runs", F.col("b_runs")).otherwise(F.col("best"))).alias("bits"))
-    )
-    total = counts.where(v.isNotNull()).groupBy("column_name").agg(F.sum("n").alias("_all"))
-    return out.join(maybe_broadcast(total), "column_name").withColumn("share", F.col("n_rows") / F.col("_all")).drop("_all")
-
-
-def classified(counts: DataFrame, expressions: DataFrame, specs: list[Spec]) -> DataFrame:
-    """Each line of counts with its expression; conforming: the expression lies inside the domain and isn't rare. Only the
-    expressions travel: a value finds its own by shape."""
-    values = counts.where(F.col("value").isNotNull()).withColumn("v_shape", _shape(F.col("value"))).withColumn("runs", _runs(F.col("v_shape"))).withColumn("inside", _inside(specs))
-    e = maybe_broadcast(expressions.select("column_name", "context", "runs", "shape", "inside", "expression", "share"))
-    own = values.join(e, ["column_name", "context", "runs", "inside"]).where(F.col("shape").isNull() | (F.col("shape") == F.col("v_shape")))
-    return own.drop("v_shape", "runs", "shape").withColumn("conforming", F.col("inside") & (F.col("share") >= RARE))
+    fields = F.regexp_extract_all(v, F.lit(r"([A-Z]+|[a-z]+|[0-9]+|[\s\S])"), F.lit(1))
+    rest = F.array_join(F.slice(F.col("fields"), FIELDS, 1 << 30), "")
+    out = counts.where(v.isNotNull()).withColumn("fields", fields).withColumn("fields", F.when(F.size("fields") > FIELDS, F.concat(F.slice("fields", 1, FIELDS - 1), F.array(rest))).otherwise(F.col("fields")))
+    shape = F.transform(F.col("fields"), lambda x, i: F.when(i == FIELDS - 1, F.lit("~")).otherwise(_field_class(x)))
+    return out.withColumn("shape", F.concat(F.array_join(shape, ""), F.lit("\u0001"), F.col("context"))).withColumn("_load", F.coalesce(F.col(load).cast("string"), F.lit("")))
+
+
+def _often(parts: DataFrame, per_load: DataFrame, keys: list[str]) -> DataFrame:
+    """parts (keys, _load, n) over all loads: keys, n, often (does it cost at most COST bits in most loads?)."""
+    n, of = F.col("n").cast("double"), F.col("of").cast("double")
+    sure = (n - CHANCE * F.sqrt(n)) / of
+    one = parts.join(maybe_broadcast(per_load), ["column_name", "_load"])
+    return one.groupBy(*keys).agg(F.sum("n").alias("n"), (F.sum(F.when(sure >= 2.0**-COST, 1).otherwise(0)) * 2 > F.first("loads")).alias("often"))
+
+
+def induce(values: DataFrame) -> DataFrame:
+    """The established shapes of a staged _values(): column_name, shape, fields (by place: alternatives, listed, exceptions,
+    expression). listed: the field holds alternatives; exceptions: its other texts are established as a class.
+
+    Description length of a field in bits: listed, 8 a character of each alternative plus log2 of the inverse share for
+    each row that has it, and the exceptions' own inverse share plus their characters; not listed, the characters of all."""
+    per_load = values.groupBy("column_name", "_load").agg(F.sum("n").alias("of"))
+    per_load = cut(per_load.join(maybe_broadcast(per_load.groupBy("column_name").agg(F.count(F.lit(1)).alias("loads"))), "column_name"))  # a row for each column and load
+    shapes = _often(values.groupBy("column_name", "shape", "_load").agg(F.sum("n").alias("n")), per_load, ["column_name", "shape"]).where("often")
+    shapes = cut(shapes.select("column_name", "shape", F.col("n").alias("rows")))
+    inside = values.join(maybe_broadcast(shapes), ["column_name", "shape"])
+    place = ["column_name", "shape", "pos"]
+    texts = inside.select("column_name", "shape", "_load", "n", "rows", F.posexplode("fields").alias("pos", "text")).groupBy(*place, "_load", "text").agg(F.sum("n").alias("n"), F.first("rows").alias("rows"))
+    texts = stage(texts, "fields")
+    found = _often(texts, per_load, [*place, "text", "rows"])
+    size, kind = F.length("text"), _field_class(F.col("text"))
+    letter = F.when(kind.isin("U", "l"), F.log2(F.lit(26.0))).when(kind == "9", F.log2(F.lit(10.0))).otherwise(F.when(size > 1, CHARACTER).otherwise(0.0))
+    n, rows = F.col("n").cast("double"), F.col("rows").cast("double")
+    name = F.when(kind == "U", "[A-Z]").when(kind == "l", "[a-z]").when(kind == "9", "[0-9]").when(size == 1, _escape(F.col("text"))).otherwise(".+")
+    fields = found.groupBy(*place).agg(
+        F.max("rows").alias("rows"), F.sum(n * size * letter).alias("spelled"), F.sum(F.when(F.col("often"), CHARACTER * size + n * F.log2(rows / n)).otherwise(n * size * letter)).alias("listed_bits"), F.sum(F.when(F.col("often"), 0).otherwise(F.col("n"))).alias("rest"),
+        F.sort_array(F.collect_list(F.when(F.col("often"), F.col("text")))).alias("alternatives"), F.min(size).alias("short"), F.max(size).alias("long"), F.min(name).alias("name"),
+    )
+    rest_bits = F.when(F.col("rest") > 0, F.col("rest") * F.log2(F.col("rows") / F.col("rest"))).otherwise(0.0)
+    fields = fields.withColumn("listed", (F.size("alternatives") > 0) & (F.col("listed_bits") + rest_bits < F.col("spelled")))
+    rest = texts.join(maybe_broadcast(fields.select(*place, "alternatives")), place).where(~F.array_contains("alternatives", F.col("text"))).groupBy(*place, "_load").agg(F.sum("n").alias("n"))
+    rest = _often(rest, per_load, place).select(*place, F.col("often").alias("exceptions"))
+    many = F.when(F.col("long") == 1, "").when(F.col("short") == F.col("long"), F.concat(F.lit("{"), F.col("long").cast("string"), F.lit("}"))).otherwise("+")
+    spelled = F.when(F.col("name").rlike(r"^\[.*\]$"), F.concat("name", many)).otherwise(F.col("name"))
+    options = F.array_join(F.transform("alternatives", _escape), "|")
+    one = fields.join(maybe_broadcast(rest), place, "left").select(*place, F.struct("pos", "alternatives", "listed", F.coalesce("exceptions", F.lit(False)).alias("exceptions"), F.when(F.col("listed") & (F.size("alternatives") > 1), F.concat(F.lit("("), options, F.lit(")"))).when(F.col("listed"), options).otherwise(spelled).alias("expression"), spelled.alias("spelled")).alias("f"))
+    return one.groupBy("column_name", "shape").agg(F.sort_array(F.collect_list("f")).alias("parts"))
+
+
+def classified(counts: DataFrame, load: str = "load_date") -> DataFrame:
+    """Each line of counts that has a value, plus expression and conforming."""
+    values = stage(_values(counts, load), "values")
+    model = cut(induce(values))
+    j = values.join(maybe_broadcast(model), ["column_name", "shape"], "left")
+    pairs = F.arrays_zip(F.col("fields"), F.col("parts"))
+    own = lambda x: ~x["parts"]["listed"] | F.array_contains(x["parts"]["alternatives"], x["fields"])
+    text = F.array_join(F.transform(pairs, lambda x: F.when(own(x), x["parts"]["expression"]).otherwise(x["parts"]["spelled"])), "")
+    j = j.withColumn("conforming", F.col("parts").isNotNull() & F.coalesce(F.forall(pairs, lambda x: own(x) | x["parts"]["exceptions"]), F.lit(False)))
+    known = F.when(F.col("parts").isNotNull(), text).otherwise(_classy(F.col("fields")))
+    return j.withColumn("expression", F.concat(known, F.when(F.col("context") != "", F.concat(F.lit(" "), F.col("context"))).otherwise(""))).drop("fields", "shape", "parts", "_load")
 
 
 def load_changes(counts: DataFrame, specs: list[Spec], load: str = "load_date") -> DataFrame:
@@ -182,35 +190,52 @@ def load_changes(counts: DataFrame, specs: list[Spec], load: str = "load_date")
 
 
 def found(df: DataFrame, specs: list[Spec] = SPECS, key: str = "row_no", load: str = "load_date") -> DataFrame:
-    """finding, column_name, item_key: nonconforming rows that the domain excludes, and loads in which a column changed.
+    """finding, column_name, item_key: rows of nonconforming expressions that the domain excludes, and loads in which a
+    column changed.
 
     Nulls: violate where the domain says so. A load of null is no load. Repeated rows count once by key. An empty table
     gives no row. Columns beside those of the specs, key and load are never read."""
     counts = cut(value_counts(df, specs, load))
-    expressions = cut(induce(counts, specs))
-    suspects = classified(counts, expressions, specs).where(~F.col("conforming")).select("column_name", "value", "context")
-    empty = counts.where(F.col("value").isNull() & F.col("column_name").isin([s.name for s in specs if not s.null_ok])).select("column_name", "value", "context").distinct()
+    suspects = classified(counts, load).where(~F.col("conforming")).select("column_name", "value", "context")
+    empty = counts.where(F.col("value").isNull() & F.col("column_name").isin([s.name for s in specs if not s.null_ok])).select("column_name", "value", "context")
     suspects = cut(suspects.unionByName(empty).select("column_name", F.coalesce("value", F.lit("\u0000")).alias("_v"), "context").distinct())
     cells = _cells(df, specs, key).select(key, "column_name", F.coalesce("value", F.lit("\u0000")).alias("_v"), F.coalesce("context", F.lit("")).alias("context"))
     rows = cells.join(maybe_broadcast(suspects), ["column_name", "_v", "context"])
     v = F.col("_v")
     ok = _by_column(specs, lambda s: F.coalesce(s.inside(v), F.lit(False)) if s.inside else None, F.lit(True)) & (F.col("context") == "")
-    exact = rows.where((v == "\u0000") | ~ok)
-    violations = exact.select(F.lit("violation").alias("finding"), "column_name", F.col(key).cast("string").alias("item_key"))
+    violations = rows.where((v == "\u0000") | ~ok).select(F.lit("violation").alias("finding"), "column_name", F.col(key).cast("string").alias("item_key"))
     changes = load_changes(counts, specs, load)
     day = F.date_format(load, "yyyy-MM-dd").alias("item_key")
     return violations.distinct().unionByName(changes.where(F.col("null_gap") > NULL_GAP).select(F.lit("nulls").alias("finding"), "column_name", day)).unionByName(changes.where(F.col("shift") > SHIFT_GAP).select(F.lit("shift").alias("finding"), "column_name", day))
 
 
+def _by_expression(counts: DataFrame, load: str) -> DataFrame:
+    """column_name, load, value (the expression), context (empty), conforming, n: counts in which expressions stand for values."""
+    return stage(classified(counts, load).groupBy("column_name", load, F.col("expression").alias("value"), F.lit("").alias("context"), "conforming").agg(F.sum("n").alias("n")), "expressions")
+
+
+def expressions(df: DataFrame, specs: list[Spec], load: str = "load_date") -> DataFrame:
+    """Coverage of every expression in every load that has it: column_name, load, expression, conforming, n_rows, coverage
+    (of the load's non-null rows), other_coverage (of those of all other loads; null where there are none), bits (cost of
+    naming the expression over all loads)."""
+    b = _by_expression(stage(value_counts(df, specs, load), "values"), load)
+    one = b.groupBy("column_name", load).agg(F.sum("n").alias("mine"))
+    both = one.join(maybe_broadcast(one.groupBy("column_name").agg(F.sum("mine").alias("filled"))), "column_name")
+    total = b.groupBy("column_name", "value").agg(F.sum("n").alias("all_n"))
+    j = b.withColumn("_l", F.coalesce(F.col(load).cast("string"), F.lit(""))).join(maybe_broadcast(both.select("column_name", F.coalesce(F.col(load).cast("string"), F.lit("")).alias("_l"), "mine", "filled")), ["column_name", "_l"]).join(total, ["column_name", "value"])
+    return j.select("column_name", F.col(load), F.col("value").alias("expression"), "conforming", F.col("n").alias("n_rows"), (F.col("n") / F.col("mine")).alias("coverage"), F.try_divide(F.col("all_n") - F.col("n"), F.col("filled") - F.col("mine")).alias("other_coverage"), F.log2(F.col("filled") / F.col("all_n")).alias("bits"))
+
+
 def profile(df: DataFrame, specs: list[Spec], load: str = "load_date") -> DataFrame:
     """A row for each load and column: rows, null_share, n_distinct, least, greatest, mean (numbers only), the leading
-    expression with its share of the load's values, nonconforming rows, and the gaps against the other loads."""
-    counts = stage(value_counts(df, specs, load), "values")
-    joined = classified(counts, cut(induce(counts, specs)), specs)
-    by_expression = joined.groupBy("column_name", load, "expression").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("conforming"), 0).otherwise(F.col("n"))).alias("bad"))
-    lead = by_expression.groupBy("column_name", load).agg(F.max(F.struct("n", "expression")).alias("top"), F.sum("n").alias("filled"), F.sum("bad").alias("nonconforming"))
+    expression with its share of the load's values, rows of nonconforming expressions, the gaps against the other loads, and
+    expression_distance: half the summed differences of the coverage of all expressions against the other loads."""
+    counts = stage(value_counts(df, specs, load), "counts")
+    b = _by_expression(counts, load)
+    lead = b.groupBy("column_name", load).agg(F.max(F.struct("n", F.col("value").alias("expression"))).alias("top"), F.sum("n").alias("filled"), F.sum(F.when(F.col("conforming"), 0).otherwise(F.col("n"))).alias("nonconforming"))
     number = F.expr("try_cast(value as double)")
     basics = counts.groupBy("column_name", load).agg(F.countDistinct("value").alias("n_distinct"), F.min("value").alias("least"), F.max("value").alias("greatest"), F.try_divide(F.sum(number * F.col("n")), F.sum(F.when(number.isNotNull(), F.col("n")))).alias("mean"))
-    changes = load_changes(counts, specs, load)
-    out = changes.join(basics, ["column_name", load], "left").join(lead, ["column_name", load], "left")
-    return out.select("column_name", F.col(load), "rows", "null_share", "n_distinct", "least", "greatest", "mean", F.col("top.expression").alias("expression"), (F.col("top.n") / F.col("filled")).alias("expression_share"), F.coalesce("nonconforming", F.lit(0)).alias("nonconforming"), "null_gap", "shift")
+    plain = [Spec(s.name) for s in specs]
+    distance = load_changes(b, plain, load).select("column_name", load, F.col("shift").alias("expression_distance"))
+    out = load_changes(counts, specs, load).join(basics, ["column_name", load], "left").join(lead, ["column_name", load], "left").join(distance, ["column_name", load], "left")
+    return out.select("column_name", F.col(load), "rows", "null_share", "n_distinct", "least", "greatest", "mean", F.col("top.expression").alias("expression"), (F.col("top.n") / F.col("filled")).alias("expression_share"), F.coalesce("nonconforming", F.lit(0)).alias("nonconforming"), "null_gap", "shift", "expression_distance")

@@ -20,6 +20,10 @@ def p1_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.profile(table(spark, d, "xbrl_company_facts"), profile.SPECS + [profile.Spec(c) for c in RAW_COLUMNS])
 
 
+def p1_expressions(spark: SparkSession, d: str) -> DataFrame:
+    return profile.expressions(table(spark, d, "xbrl_company_facts"), profile.SPECS + [profile.Spec(c) for c in RAW_COLUMNS])
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return nested.found(table(spark, d, "company_fact_files"))
 
@@ -68,7 +72,7 @@ def p6_scores(spark: SparkSession, d: str) -> DataFrame:
     return readings.scores(table(spark, d, "xbrl_company_facts"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_profile, p2_found, p2_observations, p2_concepts, p2_companies, p2_parts, p3_found, p3_report, p5_found, p5_values, p6_found, p6_scores)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_profile, p1_expressions, p2_found, p2_observations, p2_concepts, p2_companies, p2_parts, p3_found, p3_report, p5_found, p5_values, p6_found, p6_scores)}
 
 _DOMAIN = "fiscal_period IN ('Q1', 'Q2', 'Q3', 'Q4', 'FY')"
 _FORMS = "('10-K', '10-Q', '10-K/A', '10-Q/A', '10-KT', '8-K', '8-K/A', '20-F', '20-F/A', '40-F', '6-K')"

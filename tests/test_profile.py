@@ -67,16 +67,34 @@ def test_empty_and_single_load(spark):
 
 
 def test_expressions(spark):
-    counts = P.value_counts(spark.createDataFrame(rows(), SCHEMA), P.SPECS)
-    e = P.induce(counts, P.SPECS)
-    texts = {(r["column_name"], r["inside"], r["expression"]) for r in e.collect()}
-    assert ("fiscal_period", True, "Q[1234]") in texts
-    assert ("fiscal_period", False, "Q5") in texts
+    e = {(r["column_name"], r["expression"]): r["conforming"] for r in P.expressions(spark.createDataFrame(rows(), SCHEMA), P.SPECS).collect()}
+    assert e["fiscal_period", "Q(1|2|3|4)"] and not e["fiscal_period", "Q[0-9]"]  # Q5 is rare by itself
+    assert e["end_date", "(2020|2021|2022)-[0-9]{2}-[0-9]{2}"] and not any(ok for (c, x), ok in e.items() if c == "end_date" and "2020" not in x)
     r = random.Random(4)
     text = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) + "-" + "".join(r.choice("0123456789") for _ in range(m)) for n in range(1, 31) for m in range(1, 31)]
-    many = spark.createDataFrame([(D(2025, 1, 1), x) for x in text], "load_date date, code string")
-    got = P.induce(P.value_counts(many, [P.Spec("code")]), [P.Spec("code")]).collect()
-    assert [(x["level"], x["expression"], x["n_values"]) for x in got] == [("runs", "[a-z]+-[0-9]+", len(set(text)))]
+    many = spark.createDataFrame([(D(2025, 1, 1), x) for x in text + ["a" * 5000, "a-1-b" * 300, "\n", ""]], "load_date date, code string")
+    got = {x["expression"]: (x["conforming"], x["n_rows"]) for x in P.expressions(many, [P.Spec("code")]).collect()}
+    assert got["[a-z]+-[0-9]+"] == (True, len(text)) and sum(n for _, n in got.values()) == len(text) + 4
+    assert sum(ok for ok, _ in got.values()) == 1
+
+
+def test_induction_decides(spark, monkeypatch):
+    """Without expressions there are no violations; with everything established there are none either."""
+    df = spark.createDataFrame(rows(), SCHEMA)
+    want = {x for x in brute(rows()) if x[0] == "violation"}
+    nulls = {("violation", c, str(r[0])) for r in rows() for c, v in (("form", r[3]), ("end_date", r[5])) if v is None}
+    violations = lambda: {tuple(r) for r in P.found(df).collect() if r["finding"] == "violation"}
+    assert violations() == want
+    monkeypatch.setattr(P, "COST", 60.0)
+    monkeypatch.setattr(P, "CHANCE", 0.0)
+    assert nulls <= violations() < want
+
+
+def test_coverage_changes_between_loads(spark):
+    data = [(D(2025, 1, 1 + k % 3), f"A-{k:04d}" if k % 3 or k % 2 else f"a{k}") for k in range(600)]
+    p = {str(r["load_date"]): r for r in P.profile(spark.createDataFrame(data, "load_date date, code string"), [P.Spec("code")]).collect()}
+    assert abs(p["2025-01-01"]["expression_distance"] - 0.5) < 0.01 and p["2025-01-02"]["expression_distance"] < 0.3
+    assert all(r["shift"] > 0.999 for r in p.values())  # values alone don't tell
 
 
 def test_profile_all_kinds(spark):
