@@ -44,7 +44,9 @@ def validate(facts: DataFrame, today: str | None = None, tolerance: float = 99.0
     now = F.lit(today).cast("date") if today else F.current_date()
     sup = F.col("superseded_by")
     filed = facts.where(F.col("accession_number").isNotNull()).groupBy(F.col("accession_number").alias("superseded_by")).agg(F.max("filed_date").alias("_by_filed"))
-    j = facts.select("filed_date", "start_date", "end_date", "is_superseded", "superseded_by").join(filed, "superseded_by", "left")
+    slim = facts.select("filed_date", "start_date", "end_date", "is_superseded", "superseded_by")
+    none = slim.where(sup.isNull()).withColumn("_by_filed", F.lit(None).cast("date"))  # most rows: they have nobody to look for
+    j = slim.where(sup.isNotNull()).join(filed, "superseded_by", "left").unionByName(none)
     n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0))
     one = j.agg(
         n(F.col("filed_date") > now).alias("future_filed"), n(F.col("start_date") >= F.col("end_date")).alias("start_not_before_end"), n(F.coalesce("is_superseded", F.lit(False)) & (F.col("filed_date") > F.col("_by_filed"))).alias("superseded_later"),

@@ -175,4 +175,68 @@ def scalar(expression: str, threshold: str = "result = 0") -> tuple[str, str]:
 
 
 def counted(table: str, by: str, stated: str, who: str) -> tuple[str, str]:
-    return f"SELECT {by}, {stated} FROM {table} GROUP BY {by}, {stated} HAVING {stated} <> COUNT(DISTINCT {who})", "result_count = 0"
+    """The stated number of `who` is that of the group, in every row of it."""
+    groups = f"SELECT {by}, MIN({stated}) AS lowest, MAX({stated}) AS highest, COUNT(DISTINCT {who}) AS n FROM {table} GROUP BY {by}"
+    return f"SELECT * FROM ({groups}) g WHERE lowest <> n OR highest <> n", "result_count = 0"
+
+
+def refers_each(table: str, keys: list[str], parent: str, parent_key: str) -> tuple[str, str]:
+    """References in several columns, each an anti join of its own; a row counts once a reference that isn't there."""
+    return "SELECT " + " + ".join("(" + refers(table, k, parent, parent_key)[0] + ")" for k in keys), "result = 0"
+
+
+def matched(table: str, key: str, own_key: str, condition: str) -> tuple[str, str]:
+    """Rows c for which a row p of the same table, found by key, meets a condition that must not hold."""
+    return f"SELECT COUNT(*) AS n FROM {table} c WHERE EXISTS (SELECT 1 FROM {table} p WHERE p.{own_key} = c.{key} AND {condition})", "result = 0"
+
+
+def absent(table: str, parent: str, *key: str) -> tuple[str, str]:
+    """Distinct whole keys of a table that the parent doesn't have."""
+    k, whole = ", ".join(key), " AND ".join(f"{c} IS NOT NULL" for c in key)
+    return f"SELECT COUNT(*) AS n FROM (SELECT {k} FROM {table} WHERE {whole} EXCEPT SELECT {k} FROM {parent}) d", "result = 0"
+
+
+def weighted(table: str, key: str, condition: str, parent: str, accepted: str, least: float) -> tuple[str, str]:
+    """Percent of rows whose key the parent accepts. Rows are counted by key before the join."""
+    rows = f"SELECT {key}, COUNT(*) AS n FROM {table} WHERE {condition} GROUP BY {key}"
+    good = f"SELECT DISTINCT {key} AS known FROM {parent} WHERE {accepted}"
+    return f"SELECT ROUND(100.0 * SUM(CASE WHEN known IS NULL THEN 0 ELSE n END) / SUM(n), 1) AS pct FROM ({rows}) r LEFT JOIN ({good}) g ON known = {key}", f"result >= {least}"
+
+
+def pivoted(table: str, by: list[str], figures: dict[str, str], condition: str, threshold: str = "result = 0") -> tuple[str, str]:
+    """Groups whose figures (the greatest of each) meet a condition: one aggregate, no join."""
+    cols = ", ".join(f"MAX({x}) AS {n}" for n, x in figures.items())
+    return f"SELECT COUNT(*) AS n FROM (SELECT {cols} FROM {table} GROUP BY {', '.join(by)}) g WHERE {condition}", threshold
+
+
+_ROWS = re.compile(r"SELECT COUNT\(\*\) AS n FROM ([\w.]+) WHERE (.*)", re.DOTALL)
+_SHARE = re.compile(r"SELECT (ROUND\(100\.0 \* SUM\(CASE WHEN .* END\) / COUNT\(\*\), 1\)) AS pct FROM ([\w.]+)", re.DOTALL)
+
+
+def passes(rules: list[Rule]) -> tuple[dict[str, dict[str, str]], list[Rule]]:
+    """Rules that are an aggregate over the rows of one table, by table (rule id to expression), and the others. All of a
+    table's are answered in one pass over it, whatever their number."""
+    shared: dict[str, dict[str, str]] = {}
+    rest = []
+    for r in rules:
+        rows, part = _ROWS.fullmatch(r.sql), _SHARE.fullmatch(r.sql)
+        if rows and "SELECT" not in rows[2]:
+            shared.setdefault(rows[1], {})[r.rule_id] = f"COUNT(*) FILTER (WHERE {rows[2]})"
+        elif part and "SELECT" not in part[1]:
+            shared.setdefault(part[2], {})[r.rule_id] = part[1]
+        else:
+            rest.append(r)
+    return shared, rest
+
+
+def raw_values(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """rule_id, raw_value of every rule (of a result_count rule the number of rows), lazily."""
+    shared, rest = passes(rules)
+    parts = []
+    for t, cells in shared.items():
+        pairs = ", ".join(f"'{i}', CAST({x} AS DOUBLE)" for i, x in cells.items())
+        parts.append(f"SELECT explode(map({pairs})) AS (rule_id, raw_value) FROM {t}")
+    for r in rest:
+        sql = f"SELECT COUNT(*) AS v FROM ({r.sql}) q" if r.threshold.startswith("result_count") else r.sql
+        parts.append(f"SELECT '{r.rule_id}' AS rule_id, CAST(({sql}) AS DOUBLE) AS raw_value")
+    return spark.sql(" UNION ALL ".join(parts))

@@ -6,7 +6,6 @@ counts are cast to long.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,7 +157,7 @@ _PRIO = ", ".join(f"('{t}', '{u}', '{c}', {i})" for t, (u, cs) in V.PRIORITIES.i
 f AS (SELECT * REPLACE (CASE business_term_id {_LEGACY} ELSE business_term_id END AS business_term_id) FROM financial_facts WHERE NOT coalesce(is_superseded, false) AND business_term_id IS NOT NULL AND fiscal_year IS NOT NULL),
 g AS (SELECT f.*, v.i AS place FROM f JOIN units ON f.business_term_id = units.t AND f.unit = units.u LEFT JOIN v ON v.t = f.business_term_id AND v.c = f.concept),
 h AS (SELECT *, count(*) OVER (PARTITION BY concept) AS freq FROM g),
-r AS (SELECT *, count(*) OVER p AS n, row_number() OVER (PARTITION BY cik, business_term_id, fiscal_year, fiscal_period ORDER BY place NULLS LAST, CASE WHEN place IS NULL THEN coalesce(tier, 3) END NULLS FIRST, CASE WHEN place IS NULL THEN -freq END NULLS FIRST, filed_date NULLS FIRST, accession_number NULLS FIRST, fact_id NULLS FIRST, val NULLS FIRST) AS k FROM h WINDOW p AS (PARTITION BY cik, business_term_id, fiscal_year, fiscal_period))
+r AS (SELECT *, count(*) OVER p AS n, row_number() OVER (PARTITION BY cik, business_term_id, fiscal_year, fiscal_period ORDER BY place NULLS LAST, CASE WHEN place IS NULL THEN coalesce(tier, 3) END NULLS FIRST, CASE WHEN place IS NULL THEN -freq END NULLS FIRST, filed_date NULLS FIRST, accession_number NULLS FIRST, fact_id NULLS FIRST, val NULLS FIRST, promoted_at NULLS FIRST) AS k FROM h WINDOW p AS (PARTITION BY cik, business_term_id, fiscal_year, fiscal_period))
 SELECT cik, business_term_id, fiscal_year, fiscal_period, fact_id, n AS competing_fact_count, CASE WHEN n = 1 THEN 'sole_candidate' WHEN place IS NOT NULL THEN 'primary_concept' ELSE 'tier_frequency_fallback' END AS selection_reason FROM r WHERE k = 1""")
 def conform_winner(spark, d):
     return facts.conform(_facts(spark, d)).select("cik", "business_term_id", "fiscal_year", "fiscal_period", "fact_id", "competing_fact_count", "selection_reason")
@@ -377,7 +376,6 @@ _TABLES = {"raw.xbrl_company_facts": "xbrl_company_facts", "base.financial_facts
 _SKIP = {"RAW-CF-004", "RAW-CF-006", "RAW-CF-008", "RAW-CF-022", "BASE-BT-001", "RAW-CF-005", "RAW-CF-021"}
 
 
-_COUNT = re.compile(r"SELECT COUNT\(\*\) AS n FROM (\w+) WHERE (.*)", re.DOTALL)
 #: The day it is for rules that ask.
 _NOW = {"CURRENT_DATE": "DATE '2026-05-01'", "CURRENT_TIMESTAMP": "TIMESTAMP '2026-05-01 00:00:00'"}
 
@@ -389,12 +387,16 @@ def _testable(skip: set[str] = _SKIP) -> list[rules.Rule]:
         for a, b in _TABLES.items():
             sql = sql.replace(a, b)
         if r.rule_id not in skip and not any(f"{z}." in sql for z in ("raw", "base", "consumable")):
-            r.sql = f"SELECT COUNT(*) AS v FROM ({sql}) q" if r.threshold.startswith("result_count") else sql
+            r.sql = sql
             out.append(r)
     return out
 
 
-@query(" UNION ALL ".join(f"SELECT '{r.rule_id}' AS rule_id, CAST(({r.sql}) AS DOUBLE) AS raw_value" for r in _testable()))
+def _scalar(r: rules.Rule) -> str:
+    return f"SELECT COUNT(*) AS v FROM ({r.sql}) q" if r.threshold.startswith("result_count") else r.sql
+
+
+@query(" UNION ALL ".join(f"SELECT '{r.rule_id}' AS rule_id, CAST(({_scalar(r)}) AS DOUBLE) AS raw_value" for r in _testable()))
 def dq_rules(spark, d):
     """The raw value of every rule that the test tables can answer and whose SQL both engines read, as one union of scalar
     subqueries. dq_rules_all has all of them."""
@@ -408,29 +410,13 @@ def dq_rules_all(spark, d):
     for r in every:
         for a, b in _NOW.items():
             r.sql = r.sql.replace(a, b)
-    # rules that count rows of one table share one pass over it
-    counts: dict[str, dict[str, str]] = {}
-    for r in every:
-        m = _COUNT.fullmatch(r.sql)
-        if m and "SELECT" not in m[2]:
-            counts.setdefault(m[1], {})[r.rule_id] = f"CAST(COUNT(*) FILTER (WHERE {m[2]}) AS DOUBLE)"
-    shared = {i for c in counts.values() for i in c}
-    out = _raw_values(spark, d, [r for r in every if r.rule_id not in shared])
-    for t, c in counts.items():
-        pairs = ", ".join(f"'{i}', {x}" for i, x in c.items())
-        one = spark.sql(f"SELECT explode(map({pairs})) AS (rule_id, raw_value) FROM {t}")
-        out = out.unionByName(one)
-    return out
+    return _raw_values(spark, d, every)
 
 
 def _raw_values(spark, d, chosen: list[rules.Rule]):
     for t in _TABLES.values():
         table(spark, d, t).createOrReplaceTempView(t)
-    out = None
-    for r in chosen:
-        one = spark.sql(f"SELECT '{r.rule_id}' AS rule_id, CAST(({r.sql}) AS DOUBLE) AS raw_value")
-        out = one if out is None else out.unionByName(one)
-    return out
+    return rules.raw_values(spark, chosen)
 
 
 @query()

@@ -126,3 +126,22 @@ def test_entities(spark):
     assert {r["decision"] for r in entities.gate(p).collect()} == {"review"}
     assert [r["status"] for r in entities.decide(p, "approved", "me", ["a", "c"]).collect()] == ["approved", "pending", "approved"]
     assert entities.audit(p, "mapping_id", "promoted", "me", "2026-01-01 00:00:00").count() == 3
+
+
+def test_hot_grains_are_split_without_a_change(spark):
+    import random
+
+    from tallystone.operators import facts as M
+
+    r = random.Random(3)
+    day = lambda k: dt.date(2020, 1, 1) + dt.timedelta(days=k)
+    rows = [(1 if r.random() < 0.6 else r.randrange(2, 40), "Assets", "USD", r.choice([day(0), day(1), None]), day(360 + r.randrange(2)), day(400 + r.randrange(30)), r.choice("ab"), f"f{r.randrange(400)}", r.choice(["10-K", None]), float(r.randrange(9)), 2020, "FY", "1231") for _ in range(1500)]
+    df = spark.createDataFrame(rows, "cik int, concept string, unit string, start_date date, end_date date, filed_date date, accession_number string, fact_id string, form string, val double, fiscal_year int, fiscal_period string, fiscal_year_end string")
+    canon = lambda x: sorted(map(str, x.collect()))
+    one = M.supersede(df)
+    assert canon(one) == canon(M.supersede(df, per_task=50))
+    assert sum(not x["is_superseded"] for x in one.collect()) == df.select(*M.GRAIN).distinct().count()
+    order = [*M.ORDER, "val", "form"]
+    assert canon(M.amendments(df, order=order)) == canon(M.amendments(df, order=order, per_task=50))
+    cols = ["cik", "start_date", "end_date", "is_superseded", "superseded_by"]
+    assert canon(M.prefer_fiscal_year(one).select(*cols)) == canon(M.prefer_fiscal_year(one, per_task=20).select(*cols))
