@@ -1,13 +1,14 @@
 """Abusive, hateful or sexual content (problem 9).
 
 Tokens are matched by Levenshtein automata over the trie of the lexicon; phrases and cues found within a window add up
-to a score for each category, from which quotation, report and remarks on oneself are taken off. One pass over the
-documents, without a shuffle, gives every document its scores.
+to a score for each category, from which quotation, report and remarks on oneself are taken off. The lexicon is general;
+phrases of the corpus at hand are learned from a bounded sample of labelled documents and join the trie. One pass over
+the documents, without a shuffle, gives every document its scores.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tallystone.llm import lexicon as L
 from tallystone.llm.automata import Trie, tokens
-from tallystone.runtime import spread_rows
+from tallystone.llm.phrases import learn, sentences
+from tallystone.runtime import cut, spread_rows
 
 CATEGORIES = ("abuse", "hate", "sexual")
 THRESHOLD = 1.0
@@ -31,7 +33,8 @@ def _plural(words: list[str]) -> list[str]:
 class Scorer:
     """Built once for each worker."""
 
-    def __init__(self):
+    def __init__(self, learned: Iterable[tuple[tuple[str, ...], str, float]] = ()):
+        """learned: phrases of the categories beside the lexicon (see phrases)."""
         self.insults, self.sharp, self.address = set(_plural(L.INSULTS)), set(L.SHARPENERS), set(L.ADDRESS)
         self.phrases: list[tuple[list[str], str, float]] = []
         add = lambda texts, kind, weight: self.phrases.extend((p.split(), kind, weight) for p in texts)
@@ -44,6 +47,8 @@ class Scorer:
         add(_plural(L.SLURS), "slur", 1.1)
         add(L.SELF, "self", 1.0)
         add(L.OPENERS, "opener", 0.5)
+        own = {"abuse": "told", "hate": "hated", "sexual": "sexual"}
+        self.phrases += [(list(words), own[c], weight) for words, c, weight in learned]
         self.reporting = set(L.REPORTING)
         lexicon = self.insults | self.sharp | self.address | self.reporting | {"piece", "of"}
         for words, _, _ in self.phrases:
@@ -53,7 +58,7 @@ class Scorer:
         for p in self.phrases:
             self.first.setdefault(p[0][0], []).append(p)
         #: A text without any of these can't score: most texts end here.
-        self.telling = self.insults | {self._rarest(p) for p, kind, _ in self.phrases if kind in ("abuse", "sexual", "contempt", "slur")}
+        self.telling = self.insults | {self._rarest(p) for p, kind, _ in self.phrases if kind in ("abuse", "sexual", "contempt", "slur", "told", "hated")}
         #: Tokens seen so far, and those among them that stand for a telling word.
         self.known: set[str] = set()
         self.hot: set[str] = set()
@@ -115,6 +120,8 @@ class Scorer:
                 if max(a - e, c - b) <= WINDOW and seen[a][0] <= seen[c][0] + 1 and seen[c][0] <= seen[a][0] + 1:
                     best["hate"] = max(best["hate"], 1.2 * min(1.0, s * w + 0.1) - off(c))
                     hated.append((min(a, c), max(b, e)))
+        best["hate"] = max(best["hate"], self._together(marks.get("hated", []), off, seen))
+        best["abuse"] = self._together(marks.get("told", []), off, seen)
         by_sentence: dict[int, float] = {}
         for a, _, w in marks.get("abuse", ()):
             by_sentence[seen[a][0]] = max(by_sentence.get(seen[a][0], 0.0), w - off(a))
@@ -135,7 +142,7 @@ class Scorer:
                 best["hate"] = max(best["hate"], 1.1 * sure - off(i))
             else:
                 by_sentence[s] = max(by_sentence.get(s, 0.0), score)
-        best["abuse"] = max([0.0, *by_sentence.values()])
+        best["abuse"] = max([best["abuse"], *by_sentence.values()])
         sexual: dict[int, tuple[float, tuple[str, ...]]] = {}  # a word counts once, by its strongest mark
         for a, e, w in marks.get("sexual", ()):
             sexual[a] = max(sexual.get(a, (0.0, ())), (w - off(a), tuple(toks_at[a : e + 1])))
@@ -147,6 +154,19 @@ class Scorer:
             best["sexual"] = max(best["sexual"], sum(near.values()))
         return best["abuse"], max(0.0, best["hate"]), best["sexual"]
 
+    @staticmethod
+    def _together(marks: list[tuple[int, int, float]], off, seen) -> float:
+        """Learned phrases of one sentence add up; what overlaps counts once, by the strongest."""
+        best, group = 0.0, {}
+        for a, e, w in sorted(marks, key=lambda m: -m[2]):
+            s = group.setdefault(seen[a][0], [])
+            w -= off(a)
+            if w > 0:
+                s.append((a, e, w if not any(a <= y and x <= e for x, y, _ in s) else w / 3))
+        for s in group.values():
+            best = max(best, sum(w for _, _, w in s))
+        return best
+
     def _follow(self, seen: list[tuple[int, dict[str, float]]], i: int, words: list[str]) -> int | None:
         """Last word of the phrase that begins at i, None if it isn't there. The certainties of its words after the first are summed in _sure."""
         j, gap = i + 1, 0
@@ -171,32 +191,70 @@ class Scorer:
         return any(seen[j][0] == s and any(w in self.address and v == 1.0 for w, v in seen[j][1].items()) for j in range(max(0, i - NEAR), min(len(seen), i + NEAR + 1)) if j != i)
 
 
-def _score_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    scorer = Scorer()
+#: Labelled documents that phrases are learned from: a bounded sample, by a hash of the document's number, and the
+#: characters of text it may have in all.
+LABELLED, LABELLED_CHARACTERS = 10_000, 32_000_000
+
+
+def _words(text: str | None, trie: Trie) -> list[list[str]]:
+    """Sentences of a document with disguises undone where they hide words of the lexicon."""
+
+    def name(t: str) -> str:
+        hit = trie.match(t)
+        sure = [w for w, v in hit.items() if v == max(hit.values())]
+        return sure[0] if len(sure) == 1 else t.strip("\u200b'*")
+
+    return sentences(tokens(text), _ENDS, name)
+
+
+def learned(documents: DataFrame, labels: DataFrame | None) -> list[tuple[tuple[str, ...], str, float]]:
+    """Phrases learned from the labelled documents: of each the category most raters gave (ties: the first by name). Copies
+    of a text count once; labels of documents that aren't there, null categories and empty tables teach nothing."""
+    if labels is None:
+        return []
+    votes = labels.where(F.col("doc_id").isNotNull() & F.col("category").isNotNull()).groupBy("doc_id", "category").agg(F.count(F.lit(1)).alias("n"))
+    given = votes.groupBy("doc_id").agg(F.min_by("category", F.struct(-F.col("n"), F.col("category"))).alias("category"))
+    few = cut(given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED))  # the sample of the fit; documents are all scored
+    texts = documents.select("doc_id", "text").join(F.broadcast(few), "doc_id").where(F.length("text") > 0).groupBy("text").agg(F.min("category").alias("category"), F.min("doc_id").alias("doc_id"))
+    trie, size, docs = Scorer().trie, 0, []
+    for r in texts.select("doc_id", "text", "category").orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator():
+        size += len(r["text"])
+        if docs and size > LABELLED_CHARACTERS:
+            break
+        docs.append((_words(r["text"], trie), r["category"]))
+    return learn(docs, CATEGORIES)
+
+
+def _score_batches(batches: Iterator[pd.DataFrame], phrases: list) -> Iterator[pd.DataFrame]:
+    scorer = Scorer(phrases)
     for b in batches:
         s = [scorer.scores(t) for t in b["text"]]
         yield pd.DataFrame({"doc_id": b["doc_id"]} | {c: [x[k] for x in s] for k, c in enumerate(CATEGORIES)})
 
 
-def scores(documents: DataFrame) -> DataFrame:
-    """doc_id, abuse, hate, sexual (0 and up; THRESHOLD flags), one row for each row of documents."""
-    return spread_rows(documents.select("doc_id", "text")).mapInPandas(_score_batches, "doc_id long, abuse double, hate double, sexual double")
+def scores(documents: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """doc_id, abuse, hate, sexual (0 and up; THRESHOLD flags), one row for each row of documents. labels (doc_id,
+    category): what phrases are learned from, none if absent."""
+    phrases = learned(documents, labels)
+    return spread_rows(documents.select("doc_id", "text")).mapInPandas(lambda b: _score_batches(b, phrases), "doc_id long, abuse double, hate double, sexual double")
 
 
-def found(documents: DataFrame) -> DataFrame:
+def found(documents: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """doc_id, category: a row for each category whose score reaches the threshold.
 
     Null and empty texts score 0; texts are read whole; repeated rows give one row; an empty table gives none."""
     pairs = F.array(*[F.when(F.col(c) >= THRESHOLD, F.lit(c)) for c in CATEGORIES])
-    return scores(documents).select("doc_id", F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("category")).distinct()
+    return scores(documents, labels).select("doc_id", F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("category")).distinct()
 
 
-def rates(documents: DataFrame) -> DataFrame:
+def rates(documents: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Per source (spelling aside; null is a source of its own): n_documents, and the share flagged in each category."""
     from tallystone.llm.mixture import source_name
 
+    phrases = learned(documents, labels)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer()
+        scorer = Scorer(phrases)
         for b in batches:
             s = [scorer.scores(t) for t in b["text"]]
             yield pd.DataFrame({"source": b["source"]} | {c: [float(x[k] >= THRESHOLD) for x in s] for k, c in enumerate(CATEGORIES)})

@@ -1,8 +1,10 @@
-"""Levenshtein automata intersected with a lexicon trie, and the undoing of disguises.
+"""Levenshtein automata intersected with a lexicon trie.
 
-The automaton of a token accepts every word within k edits (a swap of neighbours is one). Its states are sets of
-(letters read, edits), one bit each; running it over the trie visits only prefixes that can still be accepted. The result of
-a token is kept, so the search runs once for each distinct token of a worker.
+The automaton of a token accepts every word within k edits (a swap of neighbours is one). Disguises are edits that cost
+nothing: a sign that stands for a letter accepts that letter, a star accepts any, and a letter written three times or more
+accepts one or several. Its states are sets of (places of the token read, edits), one bit each; running it over the trie
+visits only prefixes that can still be accepted. The result of a token is kept, so the search runs once for each distinct
+token of a worker.
 """
 
 from __future__ import annotations
@@ -12,13 +14,12 @@ import unicodedata
 
 #: Letters of other scripts, and signs, that stand for Latin letters.
 LOOKALIKES = str.maketrans(dict(zip("аеорсхуіѕјкмнтвԁɡοανερτικ", "aeopcxyisjkmhtbdgoavepTik".lower(), strict=True)))
-LEET = str.maketrans("@4310$57!|", "aaeiosstil")
+LEET = {"@": "a", "4": "a", "3": "e", "1": "il", "0": "o", "$": "s", "5": "s", "7": "t", "!": "il", "|": "il"}
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿᠎͏]")
 _SPELLED = [re.compile(r"(?<!\w)\w(" + sign + r")\w(?:\1\w)+(?!\w)") for sign in (r"[.\-_*·]", " ")]
-_TAG = re.compile(r"<[^<>]{0,200}>")
+_TAG = re.compile(r"</?[A-Za-z!?][^<>]*>")
 _TOKEN = re.compile("\u200b?[\\w@$*!|']*[\\w*][@$]*|[.!?;:\n]")
-_RUN = re.compile(r"(\w)\1{2,}")
-_DOUBLE = re.compile(r"(\w)\1+")
+_RUN = re.compile(r"(.)\1{2,}")
 #: Certainty of a misspelled word: a full phrase (1.2), an insult of a group (1.1) and an addressed insult (0.55 + 0.5) still reach 1.
 MISSPELLED = 0.92
 #: Of a misspelled word of four letters, and of a mask that leaves one letter: flags only with other words of its phrase or further cues.
@@ -54,21 +55,36 @@ def _joined(m: re.Match) -> str:
 class LevenshteinAutomaton:
     """A state holds, for each number of edits, the places in the word as bits, and the places where a swap was begun."""
 
-    def __init__(self, word: str, k: int):
+    def __init__(self, word: str, k: int, disguised: bool = False):
+        """disguised: signs, stars and runs in the word stand for letters at no cost."""
+        self.loop = 0
+        if disguised:
+            short, runs = [], []
+            for m in re.finditer(r"([^*])\1{2,}|.", word, re.DOTALL):
+                short.append(m[0][0])
+                runs.append(len(m[0]) > 1)
+            self.loop = sum(1 << i for i, x in enumerate(runs) if x)
+            word = "".join(short)
         self.k, self.end, self.full = k, 1 << len(word), (2 << len(word)) - 1
         self.at: dict[str, int] = {}
+        self.any = 0
         for i, c in enumerate(word):
-            self.at[c] = self.at.get(c, 0) | 1 << i
+            if disguised and c == "*":
+                self.any |= 1 << i
+            for x in LEET.get(c, c) if disguised else c:
+                self.at[x] = self.at.get(x, 0) | 1 << i
 
     def start(self) -> tuple:
         return tuple((2 << e) - 1 & self.full for e in range(self.k + 1)) + (0,) * self.k
 
     def step(self, state: tuple, letter: str) -> tuple:
-        k, at = self.k, self.at.get(letter, 0)
-        new, swaps = [(state[0] & at) << 1], []
+        k, at = self.k, self.at.get(letter, 0) | self.any
+        hit = state[0] & at
+        new, swaps = [hit << 1 | hit & self.loop], []
         for e in range(1, k + 1):
             less = state[e - 1]
-            new.append(((state[e] & at) << 1 | less | less << 1 | new[-1] << 1 | (state[k + e] & at) << 2) & self.full)
+            hit = state[e] & at
+            new.append((hit << 1 | hit & self.loop | less | less << 1 | new[-1] << 1 | (state[k + e] & at) << 2) & self.full)
             swaps.append(less & at >> 1)
         return (*new, *swaps)
 
@@ -93,14 +109,14 @@ class Trie:
                 node = node.setdefault(c, {})
             node[self.END] = w
         self.words = lexicon
-        self.squeezed: dict[str, set[str]] = {}
-        for w in lexicon:
-            self.squeezed.setdefault(_DOUBLE.sub(r"\1", w), set()).add(w)
+        self.longest = max(map(len, lexicon), default=0)
         self.cache: dict[str, dict[str, float]] = {}
 
-    def near(self, word: str, k: int, anywhere: bool = False) -> set[str]:
-        """Words within k edits that begin with the same letter, or with any (anywhere)."""
-        a, out = LevenshteinAutomaton(word, k), set()
+    def near(self, word: str, k: int, anywhere: bool = False, disguised: bool = False) -> set[str]:
+        """Words within k edits that begin with the same letter, or with any (anywhere); see LevenshteinAutomaton."""
+        a, out = LevenshteinAutomaton(word, k, disguised), set()
+        if a.end.bit_length() - 1 - k > self.longest:
+            return out  # longer than any word by more than k
         node = self.root if anywhere else self.root.get(word[:1])
         stack = [(node, a.start() if anywhere else a.step(a.start(), word[0]))] if node is not None else []
         while stack:
@@ -117,17 +133,7 @@ class Trie:
 
     def masked(self, pattern: str) -> set[str]:
         """Words of the pattern's length that agree with its letters; * stands for any letter."""
-        out, stack = set(), [(self.root, 0)]
-        while stack:
-            node, i = stack.pop()
-            if i == len(pattern):
-                if self.END in node:
-                    out.add(node[self.END])
-                continue
-            for c, nxt in node.items():
-                if c != self.END and pattern[i] in ("*", c):
-                    stack.append((nxt, i + 1))
-        return out
+        return self.near(pattern, 0, True, True)
 
     def match(self, token: str) -> dict[str, float]:
         """Lexicon words that a token stands for, with a certainty: 1 as written or undone disguise, less if misspelled."""
@@ -143,35 +149,28 @@ class Trie:
         spelled = token.startswith("​")
         core = token.lstrip("​").strip("'")  # its signs at the ends may be letters: !diot, f***
         t = core.strip("*!|@$'")
-        if not t or len(core) > 40:
+        if not t:
             return out
         if t in self.words:
             return {t: 1.0}
         forms = {t, core}
         if spelled and len(t) > 3:
             forms.add(t[1:])
-        if any(c in "@4310$57!|" for c in core) and any(c.isalpha() for c in core):
-            for a in ("i", "l"):
-                forms |= {re.sub("[1!|]", a, f).translate(LEET) for f in (t, core)}
         for f in forms:
             if f in self.words:
                 out[f] = 1.0
-            if _RUN.search(f):
-                for w in self.squeezed.get(_DOUBLE.sub(r"\1", f), ()):
-                    out[w] = 1.0
         if out:
             return out
-        if "*" in core:
-            if t in self.ordinary:
-                return out  # a mark of a footnote or of emphasis
-            for f in forms:
+        for f in forms:  # disguises: edits that cost nothing
+            if not f.isalpha() or _RUN.search(f):
+                letters = sum(c.isalpha() for c in f)
                 shown = len(f) - f.count("*")
-                if "*" in f and (shown >= 2 or shown == 1 and 4 <= len(f) <= 6 and f[0] != "*"):
-                    for w in self.masked(f):
-                        out[w] = max(out.get(w, 0.0), 1.0 if shown >= 2 else GUESSED)
-            if out or "*" in t:
-                return out
-            forms = {t}
+                if not letters or "*" in f and t in self.ordinary or not (shown >= 2 or shown == 1 and 4 <= len(f) <= 6 and f[0] != "*"):
+                    continue  # figures; a mark of a footnote or of emphasis; next to nothing shown
+                for w in self.near(f, 0, True, True):
+                    out[w] = max(out.get(w, 0.0), 1.0 if shown >= 2 else GUESSED)
+        if out or "*" in t:
+            return out
         for f in forms:
             f = _RUN.sub(r"\1", f)
             if len(f) >= 3 and f.isalpha() and f not in self.ordinary:

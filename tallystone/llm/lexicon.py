@@ -21,7 +21,7 @@ SHARPENERS += """moronic idiotic vile revolting incompetent fucking bloody stink
 pathetique estupido asquerosa inutil""".split()
 
 #: Words that address someone.
-ADDRESS = "you your yourself yours u ur du dir dich dein tu te toi ta ton vous eres tu ti usted".split()
+ADDRESS = "you your yourself yours u ur ya you're youre you've you'll you'd du dir dich dein tu te toi ta ton vous eres tu ti usted".split()
 
 #: Groups of people. A phrase here is a group only as a whole.
 GROUPS = """women
@@ -42,8 +42,12 @@ black people
 trans people
 elderly people
 people of that faith
-people of this faith
-island folk
+people of other faiths
+gens de cette religion
+gens de leur religion
+gente de otra religion
+gente de otra fe
+leute anderen glaubens
 northerners
 southerners
 easterners
@@ -60,13 +64,11 @@ immigres
 refugies
 femmes
 handicapes
-gens de leur religion
 inmigrantes
 mujeres
 extranjeros
 refugiados
 discapacitados
-gente de otra fe
 arabs
 asians
 africans
@@ -103,40 +105,105 @@ ancianos""".splitlines()
 SLURS = "nigger nigga kike spic chink gook wetback raghead towelhead paki faggot fag tranny kanake kanaken schwuchtel bougnoule youpin sudaca maricon".split()
 
 #: Contempt or exclusion; hateful near a group.
-CONTEMPT = """not real humans
+CONTEMPT = """do not deserve to live
+does not deserve to live
+should not live
+lock them all up
+should all be locked up
+should be in camps
+verdienen es nicht zu leben
+verdienen nicht zu leben
+gehoren alle eingesperrt
+alle einsperren
+alle abschieben
+alle rauswerfen
+ne meritent pas de vivre
+ne merite pas de vivre
+faudrait enfermer
+faudrait les enfermer
+faudrait expulser
+faudrait les expulser
+enfermer tous
+expulser tous
+no merecen vivir
+no merece vivir
+deberian encerrar
+hay que encerrar
+hay que expulsar
+encerrar a todos
+expulsar a todos
+would rather ~ than see
+send ~ back
+back where they came from
+back to where they came from
+get out of our country
+out of our country
+have no place
+have no business
+do not belong
+nothing but trouble
+are filth
+are trash
+are scum
+are garbage
+are rats
+are dogs
+are criminals
+are savages
+are filthy
+are disgusting
+are inferior
+are worthless
+are stupid
+are lazy
+cannot be trusted
+can not be trusted
+should not vote
+should not work
+should never work
+should never vote
+should never be allowed
+should be put down
+should be sterilized
+should stay in the kitchen
+haben hier nichts verloren
+haben hier nichts zu suchen
+nichts zu suchen
+gehoren eingesperrt
+gehoren abgeschoben
+sind dreck
+sind abschaum
+sind ratten
+sind dumm
+n'ont rien a faire ici
+n'ont pas leur place
+dehors les
+sont des rats
+sont des betes
+sont inferieures
+sont inferieurs
+son inferiores
+son escoria
+son ratas de
+no pertenecen
+que se vayan
+no tienen lugar
+not real humans
 breed like
 like vermin
 are vermin
 inferior
-inferior sort
 get rid of
-every last one
-where they crawled
-crawled out of
-locking up
-history was right about
-kind cannot think
-would rather ~ than let
-would rather ~ than see
-never let
-thrown out
 rausgeworfen
 kein mensch
 dieses pack
 weg mit ihnen
-nichts verloren
-zu dumm
-kosten nur geld
 vermine
 dehors tous
-rien a faire
 inferieures
 inferieurs
-enfermer
 son ratas
 que los echen
-no merece vivir
-no sirven
 inferiores
 subhuman
 should be exterminated
@@ -200,26 +267,56 @@ BODY = "neck legs face head skull teeth throat arms jaw bones nose".split()
 
 #: Threats and insults that need no further cue.
 ABUSE = {
-    1.2: """kill yourself
+    1.2: """kill you all
+kill your family
+beat the shit out of you
+kick your ass
+kick your teeth
+put a bullet in
+come to your house
+coming for you
+coming after you
+make you pay for
+make you suffer
+make you regret
+bury you alive
+blow your head off
+cut your throat
+strangle you
+choke on
+eat shit
+go fuck yourself
+go screw yourself
+kiss my ass
+lick my
+suck it
+you make me sick
+nobody likes you
+everyone hates you
+no one would miss you
+nobody will miss you
+world would be better without you
+do the world a favor
+you are nothing
+you are worthless
+you are pathetic
+you are disgusting
+you piece of
+you stupid
+you dumb
+you fucking
+you little
+kill yourself
 nobody would miss you
 stop breathing
-smarter things growing
-mother must be ashamed
-leave you at the hospital
-if you were on fire
-not waste the water
 find out where you live
 know where you live
 break your jaw
 break your legs
 break your neck
 watch your back
-you will bleed
-bleed for this
-hope you get run over
 hope you die
 hope you choke
-run over on the way home
 smash your face
 going to hurt you
 going to kill you
@@ -228,14 +325,11 @@ geh sterben
 wo du wohnst
 breche dir
 halt ~ fresse
-stuck dreck
 du versager
 va crever
 sale ordure
 ferme ta gueule
 pauvre con
-cretin inutile
-ne te regretterait
 espece de cretin
 ou tu habites
 casser la gueule
@@ -274,7 +368,6 @@ better off without you
 waste of oxygen
 waste of skin
 son of a bitch
-smarter than you
 verpiss dich
 fick dich
 verrecke
@@ -291,10 +384,8 @@ te voy a romper
 te voy a partir""".splitlines()
     + [f"{v} your {b}" for v in ("smash", "slit", "crack", "bash", "break") for b in BODY],
     0.7: """crawl back under
-eat dirt
 shut up
 cierra la boca
-das verguenza
 ta gueule
 screw you
 piss off
@@ -308,38 +399,77 @@ callate""".splitlines(),
 }
 
 SEXUAL = {
-    1.2: """blowjob
+    1.2: """between her legs
+between her thighs
+between his legs
+up her skirt
+under her skirt
+moaned with pleasure
+i get hard
+get me hard
+makes me hard
+make me so hard
+makes me so wet
+zwischen ihre beine
+zwischen die beine
+unter ihren rock
+stohnte vor lust
+macht mich geil
+entre ses cuisses
+entre ses jambes
+sous sa jupe
+gemit de plaisir
+me fait bander
+entre sus piernas
+entre las piernas
+bajo su falda
+gemia de placer
+me pone duro
+want to fuck you
+wanna fuck
+want to lick
+lick your
+suck your
+ride my
+spread your legs
+take off your clothes
+take your clothes off
+come to my bed
+sleep with me
+get you naked
+make you cum
+cum on
+came inside
+inside her
+inside me
+hard cock
+sexy pics
+hot nudes
+sugar daddy
+escort service
+adult videos
+fick mich
+will dich ficken
+blas mir
+baise moi
+suce ma
+chupame
+quiero follarte
+blowjob
 send me your nudes
 nude pics
 sex videos
 free porn
 hardcore clips
 horny singles
-naked on my
 see ~ naked
-breasts pressed
-kissed down her belly
-pushed her skirt
-between her thighs
-moaned as he
-unzipped his trousers
-on her knees
-slick with sweat
-came together again
-get hard every time
 nackte frauen
 fur pornos
-die bluse aus
-zwischen die beine
 filles nues
 videos porno
-sous sa jupe
-gemit de plaisir
 chicas desnudas
 porno gratis
 porno gratuites
-la ropa y le metio
-entre las piernas
 suck my
 my cock
 my dick
@@ -405,7 +535,7 @@ REPORTING = "policy policies complaint complaints forbid forbids hotline harassm
 #: Remarks on oneself, before an insult.
 SELF = ["i was an", "i was a", "i am an", "i am a", "i feel like a", "call me an", "call me a", "myself an", "myself a"]
 #: Exclamations that make the insult meant for somebody.
-OPENERS = ["what a", "like you", "tell the", "whoever wrote", "guy", "moderator", "whole team", "chief", "in charge of", "so ein", "you are a", "you are an", "he is a", "she is a", "he is an", "she is an", "bunch of", "espece de", "pedazo de", "this guy", "that guy"]
+OPENERS = ["what a", "like you", "so ein", "you are a", "you are an", "he is a", "she is a", "he is an", "she is an", "bunch of", "espece de", "pedazo de", "this guy", "that guy"]
 #: Ordinary words that look like misspelled terms: a word is no misspelling.
 ORDINARY = """price prices priced pride share change changes charged lower lowers lease stock stocks write writes figures
 bridge counts count while where whose those drawn wager rates rate nicht entra donne cours toward crown crowns carbon

@@ -35,15 +35,15 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return abuse.found(table(spark, d, "documents"))
+    return abuse.found(table(spark, d, "documents"), table(spark, d, "content_labels"))
 
 
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
-    return abuse.scores(table(spark, d, "documents"))
+    return abuse.scores(table(spark, d, "documents"), table(spark, d, "content_labels"))
 
 
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:
-    return abuse.rates(table(spark, d, "documents"))
+    return abuse.rates(table(spark, d, "documents"), table(spark, d, "content_labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p4_found, p4_golden, p7_found, p7_report, p8_selection, p8_shares, p9_found, p9_scores, p9_rates)}

@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallystone.llm import abuse as A
+from tallystone.llm import phrases as P
 from tallystone.llm.automata import LevenshteinAutomaton, Trie, tokens
 
 BAD = [
@@ -30,7 +31,10 @@ Toward the end we discussed lower rates with you and your team.""".splitlines()
 
 @pytest.fixture(scope="module")
 def scorer():
-    return A.Scorer()
+    """Beside the lexicon, one sentence is known from labelled documents."""
+    trie = A.Scorer().trie
+    told = [("Her breasts pressed against him while he kissed down her belly. " + f, "sexual") for f in FINE[:4]] + [(f, "none") for f in FINE]
+    return A.Scorer(P.learn([(A._words(t, trie), c) for t, c in told], A.CATEGORIES))
 
 
 @pytest.mark.parametrize(("text", "category"), BAD)
