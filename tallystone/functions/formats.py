@@ -63,6 +63,34 @@ def anomaly_flags(val: Column, metric: Column, yoy_pct: Column, ratio_name: Colu
     return F.when(val.isNull(), F.array().cast("array<string>")).otherwise(F.filter(F.array(*[F.when(c, n) for n, c in rules]), lambda x: x.isNotNull()))
 
 
+#: The text of each flag; {} stands for the figure.
+FLAG_TEXTS = {
+    "extreme_yoy": "Unusually large year-over-year change ({}%). May reflect M&A, reclassification, or one-time event.",
+    "negative_equity": "Negative stockholders equity. Debt-to-equity ratio reflects negative equity denominator, not extreme debt.",
+    "extreme_leverage": "Extreme leverage ratio ({}x) driven by near-zero or negative equity denominator.",
+    "negative_revenue": "Data quality anomaly in source XBRL filing. Exercise caution.",
+    "pre_profitability": "Pre-profitability period. Operating losses exceeded revenue.",
+    "not_applicable": "Financial institutions use different P&L structures. This metric is not applicable.",
+}
+
+
+def anomaly_texts(val: Column, metric: Column, yoy_pct: Column, ratio_name: Column, net_margin: Column, sector: Column) -> Column:
+    """The flags of anomaly_flags as sentences with their figures."""
+    figures = {"extreme_yoy": _fixed(F.abs(yoy_pct) * 100, 0), "extreme_leverage": _fixed(val, 1)}
+
+    def text(name: str) -> Column:
+        before, _, after = FLAG_TEXTS[name].partition("{}")
+        return F.concat(F.lit(before), figures[name], F.lit(after)) if name in figures else F.lit(before)
+
+    def named(f: Column) -> Column:
+        out = None
+        for n in FLAG_TEXTS:
+            out = F.when(f == n, text(n)) if out is None else out.when(f == n, text(n))
+        return out
+
+    return F.transform(anomaly_flags(val, metric, yoy_pct, ratio_name, net_margin, sector), named)
+
+
 def year_end_distance(a: Column, b: Column) -> Column:
     """Days between two MMDD year ends on one calendar, at most half a year; null where either isn't one."""
     day = lambda c: F.make_date(F.lit(2024), F.try_to_number(F.substring(c, 1, 2), F.lit("99")).cast("int"), F.least(F.try_to_number(F.substring(c, 3, 2), F.lit("99")).cast("int"), F.lit(28)))

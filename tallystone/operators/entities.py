@@ -63,6 +63,13 @@ def decide(proposals: DataFrame, status: str, who: str, ids: list[str] | None =
     return proposals.withColumns({"decided_by": F.when(hit, F.lit(who)).otherwise(F.col("decided_by") if "decided_by" in proposals.columns else F.lit(None).cast("string")), "reason": F.when(hit, F.lit(reason)).otherwise(F.col("reason") if "reason" in proposals.columns else F.lit(None).cast("string")), "status": F.when(hit, status).otherwise(F.col("status"))})
 
 
+def promotable(proposals: DataFrame, stored: DataFrame, key: str = "cik", ready: tuple[str, ...] = ("approved",), stored_status: str | None = "approved") -> DataFrame:
+    """Proposals that may be promoted: of a status that is ready, and of a key that isn't stored (with stored_status, if one
+    is given). A null key is never stored."""
+    known = stored if stored_status is None else stored.where(F.col("status") == stored_status)
+    return proposals.where(F.col("status").isin(*ready)).join(known.select(key).distinct(), key, "left_anti")
+
+
 def audit(rows: DataFrame, key: str, action: str, who: str, when: str) -> DataFrame:
     """One audit row for each row: audit_id (a hash of key, action and time), the key, action, who, when, and the evidence
     as JSON."""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import math
 import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EVENT = "event_id string, run_id string, event_type string, job_name string, job_namespace string, producer string, input_tables string, output_table string, output_snapshot_id long, row_count long, skipped_duplicates long, dq_rules_passed int, dq_rules_total int, dq_p0_passed boolean, duration_ms long, error_message string, event_time timestamp"
 
@@ -85,54 +87,131 @@ def check_safe(enabled: bool, path: str, env: str = "TALLYSTONE_CHAOS") -> None:
         raise Refused("the target isn't a shadow path")
 
 
-def _faults(kind: Column) -> dict[str, Column]:
-    """Column by column, what each kind of fault puts in place of the value."""
-    pick = lambda **by: by
-    rules = {
-        "completeness": pick(form=F.lit(None).cast("string")),
-        "validity": pick(val=F.lit(float("nan"))),
-        "uniqueness": {},  # the repeated row is the fault
-        "consistency": pick(start_date=F.lit("2099-01-01").cast("date")),
-        "accuracy": pick(val=-F.abs(F.col("val")) - 1),
-        "reasonableness": pick(val=F.lit(999_999_999_999_999.0), fiscal_year=F.lit(1850)),
-        "freshness": pick(filed_date=F.lit("1900-01-01").cast("date")),
-        "volume": {},  # many rows of one company
-        "referential_integrity": pick(cik=F.lit(9_999_999)),
-        "coverage": pick(taxonomy=F.lit("unknown-taxonomy")),
-    }
-    out: dict[str, Column] = {}
-    for d, cols in rules.items():
+#: The strategies of each dimension; column: what it puts in place of the value. A fault without columns is
+#: the repeated row itself. `{k}` is a hash of the row, `{old}` the value that was there.
+REQUIRED = ["cik", "entity_name", "taxonomy", "concept", "unit", "end_date", "val", "accession_number", "form", "filed_date", "ingested_at", "source_url", "source_method", "load_date"]
+OPTIONAL = ["label", "description", "start_date", "fiscal_year", "fiscal_period", "frame"]
+BIG = "element_at(array('Assets', 'Liabilities', 'StockholdersEquity', 'Revenues', 'CostOfRevenue'), {k} % 5 + 1)"
+ABSOLUTE = "element_at(array('Assets', 'Revenues', 'CashAndCashEquivalentsAtCarryingValue'), {k} % 3 + 1)"
+STRATEGIES: dict[str, dict[str, dict[str, str]]] = {
+    "completeness": {f"null_{c}": {c: "null"} for c in REQUIRED + OPTIONAL},
+    "validity": {
+        "bad_taxonomy": {"taxonomy": "'bogus-taxonomy'"}, "bad_form": {"form": "'FAKE-FORM'"}, "bad_period": {"fiscal_period": "'Q9'"}, "bad_accession": {"accession_number": "'NOT-AN-ACCESSION'"}, "inject_nan": {"val": "double('NaN')"},
+        "inject_inf": {"val": "double('Infinity')"}, "future_filed_date": {"filed_date": "date'2099-06-15'"}, "end_date_far_from_filed": {"end_date": "date_add(coalesce(filed_date, date'2024-01-01'), 3650)"},
+    },
+    "uniqueness": {"full_row_duplicate": {}},
+    "consistency": {"date_inversion": {"start_date": "date'2099-12-31'", "end_date": "date'2000-01-01'"}, "fiscal_year_mismatch": {"fiscal_year": "1999", "end_date": "date'2024-12-31'"}, "end_date_filed_gap": {"end_date": "date_add(coalesce(filed_date, date'2024-01-01'), 4000)"}},
+    "accuracy": {"implausible_value": {"concept": BIG, "unit": "'USD'", "fiscal_period": "'FY'", "val": "1.0 + {k} % 499"}, "negative_absolute_metric": {"concept": ABSOLUTE, "val": "coalesce(-abs(val), -999.0)"}, "penny_value": {"concept": BIG, "val": "0.01"}},
+    "reasonableness": {"extreme_outlier_value": {"val": "999999999999999.0"}, "impossible_fiscal_year": {"fiscal_year": "1850"}, "zero_cik": {"cik": "0"}},
+    "freshness": {"future_timestamp": {"ingested_at": "timestamp'2099-01-01 00:00:00'"}, "ancient_timestamp": {"filed_date": "date'1900-01-01'"}, "future_filing": {"filed_date": "date'2099-03-15'"}, "ancient_ingested_at": {"ingested_at": "timestamp'1990-01-01 00:00:00'"}},
+    "volume": {"volume_spike": {"concept": "concat('chaos:VolumeSpike', {k} % 99999)"}},
+    "referential_integrity": {"orphan_cik": {"cik": "9999999"}, "fake_accession_number": {"accession_number": "'9999999999-99-999999'"}},
+    "coverage": {"missing_annual_filings": {"cik": "8888888", "entity_name": "'CHAOS_COVERAGE_TEST_CORP'", "fiscal_period": "'Q1'"}, "non_standard_unit": {"unit": "'FAKE_CURRENCY'", "concept": "'chaos:NoCoverageMetric'"}},
+}
+
+
+def _corrupted(hits: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with _d (dimension) and _k (a hash): the fault of one strategy put in, with chaos_strategy, chaos_fields and the
+    values before and after as text."""
+    options = [(d, s, {c: v for c, v in cols.items() if c in columns}) for d, by in STRATEGIES.items() for s, cols in by.items() if not cols or any(c in columns for c in cols)]
+    numbers = {d: [i for i, o in enumerate(options) if o[0] == d] for d in STRATEGIES}
+    pick = F.coalesce(*[F.when(F.col("_d") == d, F.element_at(F.array(*[F.lit(i) for i in n]), (F.col("_k") % len(n) + 1).cast("int"))) for d, n in numbers.items() if n])
+    x = hits.withColumn("_s", pick)
+    kinds = dict(hits.dtypes)
+    new: dict[str, Column] = {}
+    for i, (_, _, cols) in enumerate(options):
         for c, v in cols.items():
-            out[c] = out[c].when(kind == d, v) if c in out else F.when(kind == d, v)
-    return out
+            value = F.expr(v.replace("{k}", "_k")).cast(kinds[c])
+            new[c] = new[c].when(F.col("_s") == i, value) if c in new else F.when(F.col("_s") == i, value)
+    table = lambda f: F.element_at(F.array(*[F.lit(f(o)) for o in options]), F.col("_s") + 1)
+    fields = table(lambda o: ",".join(o[2]))
+    touched = lambda c: F.array_contains(F.split(fields, ","), c)
+    changed = {c: v.otherwise(F.col(c)) for c, v in new.items()}
+    said = lambda get: F.to_json(F.filter(F.array(*[F.when(touched(c), F.struct(F.lit(c).alias("field"), get(c).cast("string").alias("value"))) for c in new]), lambda y: y.isNotNull()))
+    x = x.withColumns({"chaos_dimension": F.col("_d"), "chaos_strategy": table(lambda o: o[1]), "chaos_fields": fields, "chaos_before": said(F.col), "chaos_after": said(lambda c: changed[c])})
+    return x.withColumns(changed).drop("_s")
 
 
 def corruptions(clean: DataFrame, rate: float = 0.07, seed: int = 42, key: str = "row_no") -> DataFrame:
-    """Corrupted copies of rows with chaos_dimension and chaos_id, about rate x rows, drawn with replacement, at least five
-    for each dimension. Rows are chosen by a seeded hash of their key, so a run can be repeated exactly. The rate must lie
-    within RATES."""
+    """Corrupted copies of rows with chaos_dimension, chaos_strategy, chaos_fields, chaos_before, chaos_after and chaos_id:
+    about rate x rows, at least five for each dimension. How often a row is drawn for a dimension is a Poisson draw from a
+    hash of seed, dimension and key, as drawing with replacement has it; so a run can be repeated exactly. The rate must lie
+    within RATES. Null keys are one key."""
     if not RATES[0] <= rate <= RATES[1]:
         raise ValueError(f"rate {rate} not in {RATES}")
     n = clean.count()
+    names = ["chaos_dimension", "chaos_strategy", "chaos_fields", "chaos_before", "chaos_after", "chaos_id"]
     if not n:
-        return clean.withColumns({"chaos_dimension": F.lit(""), "chaos_id": F.lit("")})
-    per = max(rate / len(DIMENSIONS), LEAST_EACH / n)
-    draws = F.array(*[F.struct(F.lit(d).alias("d"), (F.pmod(F.xxhash64(F.lit(seed), F.lit(d), F.lit(k), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"), F.lit(k).alias("k")) for d in DIMENSIONS for k in range(2)])
-    hits = clean.withColumn("_d", F.explode(F.filter(draws, lambda x: x["u"] < per / 2)))
-    faults = {c: v.otherwise(F.col(c)) for c, v in _faults(F.col("_d.d")).items() if c in clean.columns}
-    out = hits.withColumns(faults).withColumns({"chaos_dimension": F.col("_d.d"), "chaos_id": F.concat_ws("-", F.lit("CHAOS"), F.col("_d.d"), F.col("_d.k").cast("string"), F.col(key).cast("string"))}).drop("_d")
-    counts = {r["chaos_dimension"]: r["count"] for r in out.groupBy("chaos_dimension").count().collect()}  # ten rows
-    for d in DIMENSIONS:  # small tables: make up what the draw left short
+        return clean.withColumns({c: F.lit("") for c in names})
+    mean = max(rate / len(DIMENSIONS), LEAST_EACH / n)
+    limits, p, total = [], math.exp(-mean), 0.0  # cumulated chances of 0, 1, 2, ... draws, until the rest is nothing
+    while 1.0 - total > 1e-12 and p > 0:
+        total += p
+        limits.append(total)
+        p *= mean / len(limits)
+    h = lambda d, *x: F.pmod(F.xxhash64(F.lit(seed), F.lit(d), *x, F.col(key)), F.lit(1 << 40))
+    times = lambda d: F.array_size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x <= h(d) / F.lit(float(1 << 40))))
+
+    def drawn(d: str) -> Column:
+        numbers = F.when(times(d) > 0, F.sequence(F.lit(1), times(d))).otherwise(F.array().cast("array<int>"))
+        return F.transform(numbers, lambda i: F.struct(F.lit(d).alias("d"), i.alias("i")))
+
+    draws = F.flatten(F.array(*[drawn(d) for d in DIMENSIONS]))
+    hits = clean.withColumn("_draw", F.explode(draws)).withColumns({"_d": F.col("_draw.d"), "_i": F.col("_draw.i").cast("string")}).drop("_draw")
+    counts = {r["_d"]: r["count"] for r in hits.groupBy("_d").count().collect()}  # ten rows
+    for d in DIMENSIONS:  # what the draw left short is made up from the first rows by hash
         if counts.get(d, 0) < LEAST_EACH:
-            more = clean.orderBy(F.xxhash64(F.lit(seed), F.lit(d), F.col(key))).limit(LEAST_EACH - counts.get(d, 0)).withColumn("_d", F.struct(F.lit(d).alias("d")))
-            extra = more.withColumns({c: v.otherwise(F.col(c)) for c, v in _faults(F.col("_d.d")).items() if c in clean.columns}).withColumns({"chaos_dimension": F.lit(d), "chaos_id": F.concat_ws("-", F.lit("CHAOS"), F.lit(d), F.lit("x"), F.col(key).cast("string"))}).drop("_d")
-            out = out.unionByName(extra)
-    return out
+            more = clean.orderBy(h(d, F.lit("more")), key).limit(LEAST_EACH - counts.get(d, 0))
+            hits = hits.unionByName(more.withColumns({"_d": F.lit(d), "_i": F.lit("x")}))
+    hits = hits.withColumn("_k", F.pmod(F.xxhash64(F.lit(seed), F.col("_d"), F.col("_i"), F.lit("strategy"), F.col(key)), F.lit(1 << 30)).cast("int"))
+    hits = hits.withColumn("chaos_id", F.concat_ws("-", F.lit("CHAOS"), F.col("_d"), F.col("_i"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    return _corrupted(hits, clean.columns).select(*clean.columns, *names)
+
+
+def manifest(corrupt: DataFrame, source: str, rows: int, rate: float, run_id: str, when: str) -> tuple[dict, DataFrame]:
+    """What was injected: a head (counts and coverage by dimension) and one row for each injection. Write the rows as a
+    table and the head as JSON beside it (write_manifest)."""
+    lines = corrupt.select(F.lit(run_id).alias("run_id"), "chaos_id", "chaos_dimension", "chaos_strategy", "chaos_fields", "chaos_before", "chaos_after")
+    n = {r["chaos_dimension"]: r["count"] for r in lines.groupBy("chaos_dimension").count().collect()}  # ten rows
+    return {"run_id": run_id, "timestamp": when, "source_table": source, "source_row_count": rows, "injected_row_count": sum(n.values()), "injection_rate": rate, "dimension_coverage": {d: n.get(d, 0) > 0 for d in DIMENSIONS}}, lines
+
+
+def write_manifest(folder: str, head: dict, lines: DataFrame) -> str:
+    path = f"{folder}/{head['run_id']}"
+    lines.write.mode("errorifexists").parquet(f"{path}/injections")
+    spark = lines.sparkSession
+    spark.createDataFrame([(json.dumps(head, sort_keys=True),)], "value string").coalesce(1).write.text(f"{path}/head")  # one line
+    return path
+
+
+def read_manifest(spark: SparkSession, path: str) -> tuple[dict, DataFrame]:
+    return json.loads(spark.read.text(f"{path}/head").first()["value"]), spark.read.parquet(f"{path}/injections")
+
+
+def latest_manifest(spark: SparkSession, folder: str) -> str | None:
+    """The greatest run_id of a folder, None where there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+    return f"{folder}/{names[-1]}" if names else None
+
+
+def relaxed(schema: T.StructType) -> T.StructType:
+    """The schema with every column nullable, as the shadow zone needs it."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
+
+
+def teardown(spark: SparkSession, root: str) -> bool:
+    """Remove a shadow zone; anything that isn't one is refused."""
+    if "/shadow" not in root:
+        raise Refused("the target isn't a shadow path")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def shadow(clean: DataFrame, corrupt: DataFrame) -> DataFrame:
     """Clean and corrupted rows together; clean rows have no chaos_id."""
-    return clean.withColumns({"chaos_dimension": F.lit(None).cast("string"), "chaos_id": F.lit(None).cast("string")}).unionByName(corrupt)
+    return clean.withColumns({c: F.lit(None).cast("string") for c in corrupt.columns if c not in clean.columns}).unionByName(corrupt)
 
 
 def reconcile(corrupt: DataFrame, results: list) -> DataFrame:
@@ -150,10 +229,26 @@ def reconcile(corrupt: DataFrame, results: list) -> DataFrame:
     return j.withColumns({"missed": F.col("injected") - F.col("caught"), "detection_rate": F.try_divide("caught", "injected")})
 
 
-def report(reconciled: DataFrame) -> str:
-    """After-action report as Markdown; one row a dimension."""
+def remediations(reconciled: DataFrame, lines: DataFrame) -> DataFrame:
+    """chaos_dimension, chaos_strategy, injected: strategies of dimensions that no rule caught, most injections first."""
+    open_ = reconciled.where("caught = 0").select("chaos_dimension")
+    return lines.join(F.broadcast(open_), "chaos_dimension").groupBy("chaos_dimension", "chaos_strategy").agg(F.count(F.lit(1)).alias("injected")).orderBy(F.col("injected").desc(), "chaos_dimension", "chaos_strategy")
+
+
+def report(reconciled: DataFrame, head: dict | None = None, lines: DataFrame | None = None, results: list | None = None) -> str:
+    """After-action report as Markdown: the run, dimensions, failed rules, and what is open; one row a dimension or strategy."""
     rows = reconciled.orderBy("chaos_dimension").collect()  # ten rows
-    lines = ["# Fault injection", "", "| dimension | injected | caught | missed | rules |", "|-|-|-|-|-|"]
-    lines += [f"| {r['chaos_dimension']} | {r['injected']} | {r['caught']} | {r['missed']} | {r['failed_rules'] or '-'} |" for r in rows]
+    out = ["# Fault injection", ""]
+    if head:
+        out += [f"Run {head['run_id']} at {head['timestamp']}: {head['injected_row_count']} faults in {head['source_row_count']} rows of {head['source_table']} (rate {head['injection_rate']}).", ""]
+    out += ["| dimension | injected | caught | missed | rules |", "|-|-|-|-|-|"]
+    out += [f"| {r['chaos_dimension']} | {r['injected']} | {r['caught']} | {r['missed']} | {r['failed_rules'] or '-'} |" for r in rows]
     total, caught = sum(r["injected"] for r in rows), sum(r["caught"] for r in rows)
-    return "\n".join([*lines, "", f"{caught} of {total} corruptions lie in dimensions with a failed rule."])
+    out += ["", f"{caught} of {total} corruptions lie in dimensions with a failed rule."]
+    if results is not None:
+        failed = [r for r in results if not r.passed]
+        out += ["", "## Failed rules", "", *([f"* {r.rule_id} ({r.priority}, {r.category}): {r.error or r.raw_value} against {r.threshold}" for r in failed] or ["None."])]
+    if lines is not None:
+        gaps = remediations(reconciled, lines).collect()  # a row a strategy
+        out += ["", "## Open", "", *([f"* {r['chaos_dimension']}: no rule catches {r['chaos_strategy']} ({r['injected']})" for r in gaps] or ["Every dimension is caught."])]
+    return "\n".join(out)

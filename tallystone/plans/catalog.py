@@ -83,9 +83,16 @@ def fact_versions(spark, d):
     return _facts(spark, d).select("fact_id", "filed_date", F.row_number().over(w).cast("long").alias("version_no"), F.count(F.lit(1)).over(p).alias("versions"))
 
 
-@query("SELECT fact_id, filed_date, val FROM financial_facts WHERE cik = 5000016 AND concept = 'Assets' AND start_date IS NULL AND end_date = DATE '2020-12-31' AND unit = 'USD'")
+@query("""WITH g AS (SELECT cik, concept, unit, start_date, end_date, count(*) AS n FROM financial_facts WHERE cik IS NOT NULL AND concept IS NOT NULL AND unit IS NOT NULL AND end_date IS NOT NULL GROUP BY ALL ORDER BY n DESC, cik, concept, unit, end_date, start_date NULLS FIRST LIMIT 1)
+SELECT fact_id, filed_date, val FROM financial_facts f JOIN g ON f.cik = g.cik AND f.concept = g.concept AND f.unit = g.unit AND f.end_date = g.end_date AND f.start_date IS NOT DISTINCT FROM g.start_date""")
 def fact_history(spark, d):
-    return bitemporal.history(_facts(spark, d), 5000016, "Assets", None, "2020-12-31").select("fact_id", "filed_date", "val")
+    """Every version of the figure that was stated most often."""
+    f = _facts(spark, d)
+    g = f.where("cik is not null and concept is not null and unit is not null and end_date is not null").groupBy(*facts.GRAIN).agg(F.count(F.lit(1)).alias("n"))
+    top = g.orderBy(F.col("n").desc(), "cik", "concept", "unit", "end_date", F.col("start_date").asc_nulls_first()).first()  # one row
+    if top is None:
+        return f.limit(0).select("fact_id", "filed_date", "val")
+    return bitemporal.history(f, top["cik"], top["concept"], top["start_date"] and str(top["start_date"]), str(top["end_date"]), top["unit"]).select("fact_id", "filed_date", "val")
 
 
 _PAIRS = f"""p AS (SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY {_G}) AS all_n, last_value(val) OVER wa AS l_val, last_value(accession_number) OVER wa AS l_acc, last_value(filed_date) OVER wa AS l_filed
@@ -316,9 +323,10 @@ def anomaly_flags(spark, d):
 
 # dedup, sets, JSON, profile, rules
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT DISTINCT accession_number FROM xbrl_company_facts x WHERE NOT EXISTS (SELECT 1 FROM financial_facts f WHERE f.accession_number = x.accession_number)")
 def anti_dedup(spark, d):
-    return new_rows(table(spark, d, "customer"), table(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"]).select("c_custkey")
+    """Filings that the facts don't have yet; a null is nowhere stored."""
+    return new_rows(table(spark, d, "xbrl_company_facts").select("accession_number").distinct(), _facts(spark, d), ["accession_number"])
 
 
 @query("""SELECT row_no FROM xbrl_company_facts n WHERE load_date = (SELECT max(load_date) FROM xbrl_company_facts) AND NOT EXISTS (SELECT 1 FROM xbrl_company_facts o WHERE o.load_date < (SELECT max(load_date) FROM xbrl_company_facts)

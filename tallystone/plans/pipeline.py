@@ -15,7 +15,7 @@ from tallystone.operators.rules import Rule, gate, run
 from tallystone.sources.store import VersionedTable, promote
 
 KEYS = {
-    "base.entity_mappings": ["cik"], "base.entity_resolution_audit": ["audit_id"], "base.concept_mappings": ["concept"], "base.tag_normalization_audit": ["audit_id"], "base.financial_facts": ["fact_id"], "base.fiscal_calendar": ["calendar_id"], "base.amendment_tracking": ["original_accession", "amendment_accession"], "base.conformed_facts": ["conformed_id"],
+    "base.entity_mappings": ["cik"], "base.entity_resolution_audit": ["audit_id"], "base.concept_mappings": ["concept"], "base.tag_normalization_audit": ["audit_id"], "base.financial_facts": ["fact_id"], "base.fiscal_calendar": ["calendar_id"], "base.amendment_tracking": ["cik", "concept", "unit", "end_date", "original_accession", "amendment_accession"], "base.conformed_facts": ["conformed_id"],
     "consumable.company_financials": ["record_id"], "consumable.financial_ratios": ["record_id"], "consumable.period_over_period": ["record_id"], "consumable.peer_comparison": ["record_id"], "consumable.amendment_analysis": ["record_id"],
 }
 _PERIOD = ["cik", "fiscal_year", "fiscal_period"]

@@ -67,14 +67,19 @@ class Tools:
         return self._names
 
     def resolve(self, text: str, source: str | None = None) -> tuple[str, str, str]:
-        """By id, by exact name, by part of the name; the least id of several."""
+        """(id, name, source) by id prefix (an id that isn't known keeps its text as name), by exact name, by part of the
+        name; figures before ratios, of several the least id."""
         t = text.strip().lower()
-        known = [n for n in self.names() if source is None or n[2] == source]
-        for test in (lambda n: n[0].lower() == t, lambda n: n[1].lower() == t, lambda n: t in n[1].lower()):
-            hit = [n for n in known if test(n)]
-            if hit:
-                return hit[0]
-        raise NotFound(f"unknown metric {text!r}")
+        order = [s for s in ("company_financials", "financial_ratios") if source in (None, s)]
+        for prefix, s in (("bt-", "company_financials"), ("ratio-", "financial_ratios")):
+            if t.startswith(prefix) and s in order:
+                return next((n for n in self.names() if n[0].lower() == t and n[2] == s), (t.upper(), text, s))
+        for test in (lambda n: n[1].lower() == t, lambda n: t in n[1].lower()):
+            for s in order:
+                hit = [n for n in self.names() if n[2] == s and test(n)]
+                if hit:
+                    return hit[0]
+        raise NotFound(f"unknown metric {text!r}; there are {', '.join(n[1] for n in self.names() if n[2] in order)}")
 
     def _growth(self) -> DataFrame:
         g = self.table("period_over_period")
@@ -92,7 +97,7 @@ class Tools:
         """Financials with growth, rank, margin, text and flags: three left joins."""
         k = ["cik", "fiscal_year", "fiscal_period"]
         j = rows.join(self._growth(), [*k, "business_term_id"], "left").join(self._peers("company_financials").withColumnRenamed("metric_id", "business_term_id"), [*k, "business_term_id"], "left").join(self._margin(), k, "left")
-        return j.withColumns({"formatted": formats.value(F.col("val"), F.col("unit")), "yoy_formatted": formats.yoy(F.col("yoy_pct_change")), "flags": formats.anomaly_flags(F.col("val"), F.col("business_term"), F.col("yoy_pct_change"), F.lit(None).cast("string"), F.col("net_margin"), F.col("sector"))})
+        return j.withColumns({"formatted": formats.value(F.col("val"), F.col("unit")), "yoy_formatted": formats.yoy(F.col("yoy_pct_change")), "flags": formats.anomaly_texts(F.col("val"), F.col("business_term"), F.col("yoy_pct_change"), F.lit(None).cast("string"), F.col("net_margin"), F.col("sector"))})
 
     @staticmethod
     def _one(df: DataFrame, order: list, what: str) -> dict:
@@ -121,7 +126,7 @@ class Tools:
             raise NotFound(f"nothing for {ticker} {year}")
         peers = self._peers("financial_ratios").withColumnRenamed("metric_id", "ratio_id")
         r = self.table("financial_ratios").where(mine & (F.col("fiscal_year") == year)).join(peers, ["cik", "fiscal_year", "fiscal_period", "ratio_id"], "left")
-        r = r.withColumn("flags", formats.anomaly_flags(F.col("ratio_value"), F.lit(None).cast("string"), F.lit(None).cast("double"), F.col("ratio_name"), F.lit(None).cast("double"), F.col("sector")))
+        r = r.withColumn("flags", formats.anomaly_texts(F.col("ratio_value"), F.lit(None).cast("string"), F.lit(None).cast("double"), F.col("ratio_name"), F.lit(None).cast("double"), F.col("sector")))
         ratios = [x.asDict(recursive=True) for x in r.orderBy("ratio_name", "record_id").collect()]
         am = []
         if "amendment_analysis" in self.frames:

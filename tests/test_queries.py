@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tallystone.plans import catalog, problems
+from tallystone.plans import catalog, problems, product_queries, rule_queries
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
-SQL = catalog.SQL | problems.SQL
+ALL = (catalog, problems, product_queries, rule_queries)
+SQL = {n: q for m in ALL for n, q in m.SQL.items()}
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +30,7 @@ def canon(rows):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_is_its_sql(spark, duck, name):
-    df = (catalog.QUERIES | problems.QUERIES)[name](spark, DATA)
+    df = next(m.QUERIES[name] for m in ALL if name in m.QUERIES)(spark, DATA)
     cols = sorted(df.columns)
     want = duck.execute("SELECT " + ", ".join(f'"{c}"' for c in cols) + f" FROM ({SQL[name]})").fetchall()
     assert canon(df.select(*[f"`{c}`" for c in cols]).collect()) == canon(want)
