@@ -47,7 +47,7 @@ class Scorer:
         add(_plural(L.SLURS), "slur", 1.1)
         add(L.SELF, "self", 1.0)
         add(L.OPENERS, "opener", 0.5)
-        own = {"abuse": "told", "hate": "hated", "sexual": "sexual"}
+        own = {"abuse": "told", "hate": "hated", "sexual": "shown"}
         self.phrases += [(list(words), own[c], weight) for words, c, weight in learned]
         self.reporting = set(L.REPORTING)
         lexicon = self.insults | self.sharp | self.address | self.reporting | {"piece", "of"}
@@ -57,29 +57,46 @@ class Scorer:
         self.first: dict[str, list[tuple[list[str], str, float]]] = {}
         for p in self.phrases:
             self.first.setdefault(p[0][0], []).append(p)
-        #: A text without any of these can't score: most texts end here.
-        self.telling = self.insults | {self._rarest(p) for p, kind, _ in self.phrases if kind in ("abuse", "sexual", "contempt", "slur", "told", "hated")}
-        #: Tokens seen so far, and those among them that stand for a telling word.
+        #: A text can reach the threshold only if it holds all words of one of these, or of two of the learned phrases that
+        #: count less; they are looked up by their least common word.
+        needed = {frozenset({w}): True for w in self.insults}
+        for words, kind, weight in self.phrases:
+            if kind in ("abuse", "sexual", "contempt", "slur", "told", "hated", "shown"):
+                held = frozenset(words) - {"~"}
+                needed[held] = needed.get(held, False) or weight >= THRESHOLD or kind not in ("told", "hated", "shown")
+        common = set(L.COMMON)
+        self.telling: dict[str, list[tuple[frozenset[str], bool]]] = {}
+        for words, alone in needed.items():
+            self.telling.setdefault(max(words, key=lambda w: (w not in common, len(w), w)), []).append((words, alone))
+        #: Tokens seen so far, and those among them that stand for words of the lexicon.
         self.known: set[str] = set()
-        self.hot: set[str] = set()
+        self.stand: dict[str, tuple[str, ...]] = {}
 
-    @staticmethod
-    def _rarest(words: list[str]) -> str:
-        return max((w for w in words if w != "~"), key=len)
-
-    def scores(self, text: str | None) -> tuple[float, float, float]:
-        """abuse, hate and sexual score. Null and empty texts score 0."""
-        toks = tokens(text)
-        match = self.trie.match
+    def _can_score(self, toks: list[str]) -> bool:
+        here = set(toks)
         if len(self.known) > 500_000:
             self.known.clear()
-            self.hot.clear()
-        for t in set(toks) - self.known:
+            self.stand.clear()
+        for t in here - self.known:
             self.known.add(t)
-            if not self.telling.isdisjoint(match(t)):
-                self.hot.add(t)
-        if self.hot.isdisjoint(toks):
+            if m := self.trie.match(t):
+                self.stand[t] = tuple(m)
+        words = {w for t in here & self.stand.keys() for w in self.stand[t]}
+        weak = 0
+        for w in words & self.telling.keys():
+            for p, alone in self.telling[w]:
+                if p <= words:
+                    weak += 1
+                    if alone or weak > 1:
+                        return True
+        return False
+
+    def scores(self, text: str | None) -> tuple[float, float, float]:
+        """abuse, hate and sexual score. Null and empty texts score 0, and so do texts that can't reach the threshold."""
+        toks = tokens(text)
+        if not self._can_score(toks):
             return 0.0, 0.0, 0.0
+        match = self.trie.match
         found = [match(t) for t in toks]
         seen: list[tuple[int, dict[str, float]]] = []
         toks_at: list[str] = []
@@ -152,6 +169,7 @@ class Scorer:
                 if a <= b <= a + WINDOW:
                     near[words] = max(near.get(words, 0.0), w)
             best["sexual"] = max(best["sexual"], sum(near.values()))
+        best["sexual"] = max(best["sexual"], self._together(marks.get("shown", []), off, seen))
         return best["abuse"], max(0.0, best["hate"]), best["sexual"]
 
     @staticmethod

@@ -587,3 +587,11 @@ vines vive vivid vying wages waiter wander wasted wastes watery ways weave welco
 wives woman wore world worn wouldn wound woven wreck wunder zitten zones""".split()
 #: Terms of four letters whose misspellings are looked for, at a lower certainty.
 SHORT = "kill scum cunt slut twat porn nude jews gays fuck puta pute hure slag".split()
+#: Words too common to look a phrase up by.
+COMMON = """a about after again against all am an and any are as at back be because been before being between both but by can
+cannot could did do does down each every few for from get go had has have he her here him his how i if in into is it its just
+know like little make me more most my no nor not nothing now of off on once one only or other our out over own place said same
+see she should so some such take than that the their them then there these they this those through to too under until up us
+very was we were what when where which while who why will with would you your der die das und ist sind nicht ein eine einen
+alle hier haben hat ich du sie wir ihr mit von zu im in auf fur den dem des es le la les un une des et est sont ne pas dans
+que qui pour sur avec ce cette ces tous ici ont a el los las una y es son no en que por con su sus aqui todos de del al""".split()
