@@ -55,11 +55,11 @@ def gate(proposals: DataFrame, require_human: bool = True, floor: float = 0.8) -
     return proposals.withColumn("decision", F.when((F.col("confidence") < floor) | F.lit(require_human), "review").otherwise("auto"))
 
 
-def decide(proposals: DataFrame, status: str, who: str, ids: list[str] | None = None, reason: str | None = None) -> DataFrame:
+def decide(proposals: DataFrame, status: str, who: str, ids: list[str] | None = None, reason: str | None = None, ident: str = "mapping_id") -> DataFrame:
     """approved or rejected: only pending rows change, optionally only those of a list of ids."""
     hit = F.col("status") == "pending"
     if ids is not None:
-        hit = hit & F.col("mapping_id").isin(ids)
+        hit = hit & F.col(ident).isin(ids)
     return proposals.withColumns({"decided_by": F.when(hit, F.lit(who)).otherwise(F.col("decided_by") if "decided_by" in proposals.columns else F.lit(None).cast("string")), "reason": F.when(hit, F.lit(reason)).otherwise(F.col("reason") if "reason" in proposals.columns else F.lit(None).cast("string")), "status": F.when(hit, status).otherwise(F.col("status"))})
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallystone.operators import asof, nested, orphans, profile, readings
-from tallystone.runtime import table
+from tallystone.runtime import stage, table
 
+#: Columns whose text both engines write alike.
+PLAIN_COLUMNS = ["cik", "entity_name", "taxonomy", "concept", "label", "unit", "accession_number", "fiscal_year", "frame", "source_method"]
 RAW_COLUMNS = ["cik", "entity_name", "taxonomy", "concept", "label", "description", "unit", "start_date", "val", "accession_number", "fiscal_year", "filed_date", "frame", "ingested_at", "source_url", "source_method"]
 
 
@@ -36,6 +39,30 @@ def p2_concepts(spark: SparkSession, d: str) -> DataFrame:
     return nested.Nested(table(spark, d, "company_fact_files")).concepts()
 
 
+def p2_observation_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The observations without their identities."""
+    o = nested.Nested(table(spark, d, "company_fact_files")).observations()
+    return o.select("file_no", "cik", "taxonomy", "concept", "unit", "obs_no", "start_date", "end_date", "val", "accession_number", "fiscal_period", "form", "filed_date", "frame", "usable")
+
+
+def p2_concept_rows(spark: SparkSession, d: str) -> DataFrame:
+    return nested.Nested(table(spark, d, "company_fact_files")).concepts().select("file_no", "cik", "taxonomy", "concept", "label", "description")
+
+
+def p2_company_rows(spark: SparkSession, d: str) -> DataFrame:
+    return nested.Nested(table(spark, d, "company_fact_files")).companies().select("file_no", "cik", "entity_name")
+
+
+def p1_loads(spark: SparkSession, d: str) -> DataFrame:
+    """The standard aggregates of every column and load: rows, nulls, distinct values, and the gaps against other loads."""
+    x = table(spark, d, "xbrl_company_facts")
+    specs = profile.SPECS + [profile.Spec(c) for c in PLAIN_COLUMNS]
+    counts = stage(profile.value_counts(x, specs), "counts")
+    n = counts.groupBy("column_name", "load_date").agg(F.countDistinct("value").alias("n_distinct"))
+    c = profile.load_changes(counts, specs).join(n, ["column_name", "load_date"])
+    return c.select("column_name", "load_date", "rows", F.round("null_share", 6).alias("null_share"), "n_distinct", F.round("null_gap", 6).alias("null_gap"), F.round("shift", 6).alias("shift"))
+
+
 def p2_parts(spark: SparkSession, d: str) -> DataFrame:
     return nested.Nested(table(spark, d, "company_fact_files")).parts()
 
@@ -72,7 +99,7 @@ def p6_scores(spark: SparkSession, d: str) -> DataFrame:
     return readings.scores(table(spark, d, "xbrl_company_facts"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_profile, p1_expressions, p2_found, p2_observations, p2_concepts, p2_companies, p2_parts, p3_found, p3_report, p5_found, p5_values, p6_found, p6_scores)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_profile, p1_expressions, p2_found, p2_observations, p2_concepts, p2_companies, p2_parts, p2_observation_rows, p2_concept_rows, p2_company_rows, p1_loads, p3_found, p3_report, p5_found, p5_values, p6_found, p6_scores)}
 
 _DOMAIN = "fiscal_period IN ('Q1', 'Q2', 'Q3', 'Q4', 'FY')"
 _FORMS = "('10-K', '10-Q', '10-K/A', '10-Q/A', '10-KT', '8-K', '8-K/A', '20-F', '20-F/A', '40-F', '6-K')"
@@ -107,8 +134,25 @@ ux AS (SELECT file_no, cik, taxonomy, concept, e.key AS unit, CASE WHEN json_typ
 ox AS (SELECT file_no, cik, taxonomy, concept, unit, e.key::INTEGER AS obs_no, e.value AS o FROM ux, json_each(ux.v) e WHERE json_type(ux.v) = 'ARRAY')
 SELECT DISTINCT file_no, cik, taxonomy, concept, unit, obs_no FROM ox WHERE json_type(o) = 'OBJECT' AND trim(coalesce(o->>'end', '')) <> '' AND try_cast(replace(replace(o->>'val', ',', ''), ' ', '') AS DOUBLE) IS NOT NULL"""
 
+_TREE = _NESTED[: _NESTED.index("SELECT DISTINCT file_no")]
+
+
+def _load_sql() -> str:
+    cells = [(c, "year(end_date)::VARCHAR" if c == "end_date" else f"{c}::VARCHAR", f"{c}::VARCHAR") for c in ["fiscal_period", "form", "end_date", *PLAIN_COLUMNS]]
+    x = " UNION ALL ".join(f"SELECT '{c}' AS c, load_date, {b} AS v, {w} AS w FROM xbrl_company_facts WHERE load_date IS NOT NULL" for c, b, w in cells)
+    return f"""WITH x AS ({x}), l AS (SELECT c, load_date, count(*) AS n, count(v) AS f, count(DISTINCT w) AS d FROM x GROUP BY ALL), t AS (SELECT c, sum(n) AS n, sum(f) AS f FROM l GROUP BY c),
+n AS (SELECT c, load_date, v, count(*) AS n FROM x WHERE v IS NOT NULL GROUP BY ALL), a AS (SELECT c, v, sum(n) AS n FROM n GROUP BY ALL),
+s AS (SELECT n.c, n.load_date, sum(abs(n.n / l.f - (a.n - n.n) / (t.f - l.f))) AS d, sum((a.n - n.n) / (t.f - l.f)) AS q FROM n JOIN a ON a.c = n.c AND a.v = n.v JOIN l ON l.c = n.c AND l.load_date = n.load_date JOIN t ON t.c = n.c WHERE t.f > l.f GROUP BY ALL)
+SELECT l.c AS column_name, l.load_date, l.n AS "rows", round((l.n - l.f) / l.n, 6) AS null_share, l.d AS n_distinct, round(abs((l.n - l.f) / l.n - ((t.n - t.f) - (l.n - l.f)) / (t.n - l.n)), 6) AS null_gap, round((s.d + 1 - s.q) / 2, 6) AS shift FROM l JOIN t ON t.c = l.c LEFT JOIN s ON s.c = l.c AND s.load_date = l.load_date"""
+
+
 SQL: dict[str, str] = {
+    "p1_loads": _load_sql(),
     "p2_found": _NESTED,
+    "p2_observation_rows": _TREE + """SELECT file_no, cik, taxonomy, concept, unit, obs_no, try_cast(o->>'start' AS DATE) AS start_date, try_cast(o->>'end' AS DATE) AS end_date, try_cast(replace(replace(o->>'val', ',', ''), ' ', '') AS DOUBLE) AS val, o->>'accn' AS accession_number, o->>'fp' AS fiscal_period, o->>'form' AS form, try_cast(o->>'filed' AS DATE) AS filed_date, o->>'frame' AS frame,
+trim(coalesce(o->>'end', '')) <> '' AND try_cast(replace(replace(o->>'val', ',', ''), ' ', '') AS DOUBLE) IS NOT NULL AS usable FROM ox WHERE json_type(o) = 'OBJECT'""",
+    "p2_concept_rows": _TREE + "SELECT file_no, cik, taxonomy, e.key AS concept, e.value->>'label' AS label, e.value->>'description' AS description FROM tx, json_each(tx.v) e WHERE json_type(tx.v) = 'OBJECT' AND json_type(e.value) = 'OBJECT'",
+    "p2_company_rows": _TREE.replace("j->'facts' AS f FROM d)", "j->'facts' AS f, j->>'entityName' AS name FROM d WHERE j IS NOT NULL AND json_type(j) = 'OBJECT')") + "SELECT file_no, cik, name AS entity_name FROM x",
     "p1_found": f"""WITH x AS ({_LOADS}), n AS (SELECT c, load_date, v, count(*) AS n FROM x WHERE load_date IS NOT NULL GROUP BY ALL), l AS (SELECT c, load_date, sum(n) AS n, coalesce(sum(n) FILTER (v IS NOT NULL), 0) AS f FROM n GROUP BY ALL),
 t AS (SELECT c, sum(n) AS n, sum(f) AS f FROM l GROUP BY c), vv AS (SELECT DISTINCT c, v FROM n WHERE v IS NOT NULL),
 s AS (SELECT l.c, l.load_date, sum(abs(coalesce(a.n, 0) / l.f - (w.n - coalesce(a.n, 0)) / (t.f - l.f))) / 2 AS shift FROM l JOIN t ON t.c = l.c JOIN vv ON vv.c = l.c JOIN (SELECT c, v, sum(n) AS n FROM n GROUP BY ALL) w ON w.c = l.c AND w.v = vv.v LEFT JOIN n a ON a.c = l.c AND a.load_date = l.load_date AND a.v = vv.v WHERE l.f > 0 AND t.f > l.f GROUP BY l.c, l.load_date)

@@ -136,8 +136,34 @@ BT-047 USD ComprehensiveIncomeNetOfTax
 BT-048 USD RetainedEarningsAccumulatedDeficit""".splitlines()
     )
 }
-#: Legacy ids CDE-007 to CDE-031 and the terms they became, in that order.
-LEGACY = dict(zip([f"CDE-{n:03d}" for n in range(7, 32)], "BT-024 BT-027 BT-028 BT-029 BT-030 BT-031 BT-032 BT-033 BT-022 BT-034 BT-035 BT-036 BT-023 BT-037 BT-038 BT-039 BT-040 BT-041 BT-042 BT-043 BT-044 BT-045 BT-046 BT-047 BT-048".split(), strict=True))
+#: Legacy ids and the terms they became.
+LEGACY = {
+    "CDE-007": "BT-024",
+    "CDE-008": "BT-027",
+    "CDE-009": "BT-028",
+    "CDE-010": "BT-029",
+    "CDE-011": "BT-030",
+    "CDE-012": "BT-031",
+    "CDE-013": "BT-032",
+    "CDE-014": "BT-033",
+    "CDE-015": "BT-022",
+    "CDE-016": "BT-034",
+    "CDE-017": "BT-035",
+    "CDE-018": "BT-036",
+    "CDE-019": "BT-023",
+    "CDE-020": "BT-037",
+    "CDE-021": "BT-038",
+    "CDE-022": "BT-039",
+    "CDE-023": "BT-040",
+    "CDE-024": "BT-041",
+    "CDE-025": "BT-042",
+    "CDE-026": "BT-043",
+    "CDE-027": "BT-044",
+    "CDE-028": "BT-045",
+    "CDE-029": "BT-046",
+    "CDE-030": "BT-047",
+    "CDE-031": "BT-048",
+}
 #: Ratio, name, numerator, denominator, is the numerator's size meant.
 RATIOS = [
     ("RATIO-001", "Gross Margin", "BT-035", "BT-022", False),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 20_000
 #: And at most so many bytes of text.
 BROADCAST_BYTES = 4_000_000
+_STAGED: list[str] = []
 ARROW_BYTES, ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 
 
@@ -54,6 +55,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     try:  # goes with the session; where that isn't reached, with the shared folder
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
@@ -62,6 +64,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Remove what stage() wrote so far in this session; frames made of it can't be used any more. How many tables went."""
+    n = 0
+    while _STAGED:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        n += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+    return n
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Is the frame proven to be within the broadcast bound? Reads at most rows + 1 rows and only their count and
     size reach the driver."""

@@ -1,17 +1,18 @@
 """Versioned tables over plain parquet folders, anti-join append, and one promote for all sinks.
 
-Layout: <root>/<table>/v=N/*.parquet and <root>/<table>/_manifest/v=N.json. A version is either appended to what was
+Layout: <root>/<table>/v=N-<random>/*.parquet and <root>/<table>/_manifest/v=N.json, which names the folder. A version is either appended to what was
 before or replaces it; reading version N reads the folders back to the last replacement, so appends cost only what is
 new. The manifest file is written last and only if absent, so a failed writer leaves no half version and of two writers
-of one version one fails. Any Hadoop file system will do.
+of one version one fails and its folder is no part of any version. Any Hadoop file system will do.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,10 +78,10 @@ class VersionedTable:
         if self.schema is not None:
             df = conform_schema(df, self.schema)
             check_required(df, self.schema)
-        folder = f"{self.path}/v={version:06d}"
-        df.write.mode("overwrite").parquet(folder)
-        rows = self.spark.read.parquet(folder).count()
-        entry = {"version": version, "parent": parent or None, "ts": ts or dt.datetime.now(dt.UTC).isoformat(), "operation": operation, "rows": rows}
+        folder, seen = f"v={version:06d}-{uuid.uuid4().hex[:12]}", Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.path}/{folder}")
+        rows = seen.get["rows"]
+        entry = {"version": version, "folder": folder, "parent": parent or None, "ts": ts or dt.datetime.now(dt.UTC).isoformat(), "operation": operation, "rows": rows}
         stream = self._fs.create(self._jpath(f"{self.path}/_manifest/v={version:06d}.json"), False)
         stream.write(bytearray(json.dumps(entry).encode()))
         stream.close()
@@ -103,7 +104,7 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         base = max((s["version"] for s in snaps if s["operation"] == "overwrite"), default=snaps[0]["version"])
         reader = self.spark.read.schema(self.schema) if self.schema is not None else self.spark.read
-        return reader.parquet(*[f"{self.path}/v={s['version']:06d}" for s in snaps if s["version"] >= base])
+        return reader.parquet(*[f"{self.path}/{s['folder']}" for s in snaps if s["version"] >= base])
 
     def find_at(self, when: str | dt.datetime) -> int | None:
         """The latest version written at or before a time; times without zone are UTC."""

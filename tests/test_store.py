@@ -5,6 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import types as T
 
+from tallystone.operators import entities
 from tallystone.operators import governance as G
 from tallystone.operators import rules as R
 from tallystone.plans.rulebook import rulebook
@@ -138,3 +139,42 @@ def test_chaos(spark):
     with pytest.raises(G.Refused):
         G.check_safe(True, "/data/raw")
     assert G.corruptions(clean.limit(0)).count() == 0
+
+
+def test_staging(spark, tmp_path):
+    from tallystone.sources import staging as Z
+
+    schema = "mapping_id string, cik int, canonical_name string, status string, decided_by string, reason string"
+    rows = [("ER-001", 1, "A", "pending", None, None), ("ER-002", 2, "B", "pending", None, None), ("ER-003", 3, "C", "approved", None, None), ("ER-004", 4, "D", "rejected", None, None)]
+    path = f"{tmp_path}/staging/entities"
+    assert Z.read(spark, path, schema).count() == 0 and Z.archive(spark, path, "2026-05-01 00:00:00") is None
+    Z.write(spark.createDataFrame(rows, schema), path)
+    assert Z.pending(Z.read(spark, path, schema)).count() == 2
+    Z.write(entities.decide(Z.read(spark, path, schema), "approved", "me", ["ER-001"], "known"), path)
+    got = {r["mapping_id"]: (r["status"], r["decided_by"]) for r in Z.read(spark, path, schema).collect()}
+    assert got == {"ER-001": ("approved", "me"), "ER-002": ("pending", None), "ER-003": ("approved", None), "ER-004": ("rejected", None)}
+    t, a = VersionedTable(spark, str(tmp_path), "base.entity_mappings"), VersionedTable(spark, str(tmp_path), "base.audit")
+    t.append(spark.createDataFrame([("ER-000", 3, "C", "approved", None, None)], schema))
+    ready = lambda: Z.promote_ready(spark, Z.read(spark, path, schema), t, a, "cik", ("approved",), "approved", "me", "2026-05-01 00:00:00")
+    assert ready() == {"promoted": 1, "skipped_duplicates": 1} and ready() == {"promoted": 0, "skipped_duplicates": 2}
+    assert sorted(r["cik"] for r in t.read().collect()) == [1, 3] and a.read().count() == 1
+    assert Z.archive(spark, path, "2026-05-01 00:00:00").endswith("entities-archive/2026-05-01T00-00-00") and Z.read(spark, path, schema).count() == 0
+
+
+def test_a_lost_race_leaves_no_version(spark, tmp_path):
+    one, two = (VersionedTable(spark, str(tmp_path), "t") for _ in range(2))
+    snaps = two.snapshots
+    two.snapshots = lambda: []  # both saw an empty table
+    one.append(spark.range(3).toDF("i"))
+    with pytest.raises(Exception):  # noqa: B017
+        two.append(spark.range(9).toDF("i"))
+    two.snapshots = snaps
+    assert two.read().count() == 3 and [s["rows"] for s in two.snapshots()] == [3]
+
+
+def test_release(spark):
+    from tallystone import runtime as R
+
+    R.release(spark)
+    df = R.stage(spark.range(5).toDF("i"), "x")
+    assert df.count() == 5 and R.release(spark) == 1 and R.release(spark) == 0
