@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallystone.runtime import cut, maybe_broadcast, stage
+from tallystone.runtime import cut, maybe_broadcast, small, stage
 
 #: Bits a row that an established expression may cost: one row in 64.
 COST = 6.0
@@ -118,7 +118,7 @@ def _often(parts: DataFrame, per_load: DataFrame, keys: list[str]) -> DataFrame:
     """parts (keys, _load, n) over all loads: keys, n, often (does it cost at most COST bits in most loads?)."""
     n, of = F.col("n").cast("double"), F.col("of").cast("double")
     sure = (n - CHANCE * F.sqrt(n)) / of
-    one = parts.join(maybe_broadcast(per_load), ["column_name", "_load"])
+    one = parts.join(per_load, ["column_name", "_load"])
     return one.groupBy(*keys).agg(F.sum("n").alias("n"), (F.sum(F.when(sure >= 2.0**-COST, 1).otherwise(0)) * 2 > F.first("loads")).alias("often"))
 
 
@@ -129,7 +129,7 @@ def induce(values: DataFrame) -> DataFrame:
     Description length of a field in bits: listed, 8 a character of each alternative plus log2 of the inverse share for
     each row that has it, and the exceptions' own inverse share plus their characters; not listed, the characters of all."""
     per_load = values.groupBy("column_name", "_load").agg(F.sum("n").alias("of"))
-    per_load = cut(per_load.join(maybe_broadcast(per_load.groupBy("column_name").agg(F.count(F.lit(1)).alias("loads"))), "column_name"))  # a row for each column and load
+    per_load = maybe_broadcast(cut(per_load.withColumn("loads", F.count(F.lit(1)).over(W.partitionBy("column_name")))))  # a row for each column and load
     shapes = _often(values.groupBy("column_name", "shape", "_load").agg(F.sum("n").alias("n")), per_load, ["column_name", "shape"]).where("often")
     shapes = cut(shapes.select("column_name", "shape", F.col("n").alias("rows")))
     inside = values.join(maybe_broadcast(shapes), ["column_name", "shape"])
@@ -146,13 +146,15 @@ def induce(values: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.when(F.col("often"), F.col("text")))).alias("alternatives"), F.min(size).alias("short"), F.max(size).alias("long"), F.min(name).alias("name"),
     )
     rest_bits = F.when(F.col("rest") > 0, F.col("rest") * F.log2(F.col("rows") / F.col("rest"))).otherwise(0.0)
-    fields = fields.withColumn("listed", (F.size("alternatives") > 0) & (F.col("listed_bits") + rest_bits < F.col("spelled")))
-    rest = texts.join(maybe_broadcast(fields.select(*place, "alternatives")), place).where(~F.array_contains("alternatives", F.col("text"))).groupBy(*place, "_load").agg(F.sum("n").alias("n"))
+    fields = cut(fields.withColumn("listed", (F.size("alternatives") > 0) & (F.col("listed_bits") + rest_bits < F.col("spelled"))))
+    few = small(fields)  # a row for each field of the established shapes, and so is rest
+    hint = F.broadcast if few else (lambda df: df)
+    rest = texts.join(hint(fields.select(*place, "alternatives")), place).where(~F.array_contains("alternatives", F.col("text"))).groupBy(*place, "_load").agg(F.sum("n").alias("n"))
     rest = _often(rest, per_load, place).select(*place, F.col("often").alias("exceptions"))
     many = F.when(F.col("long") == 1, "").when(F.col("short") == F.col("long"), F.concat(F.lit("{"), F.col("long").cast("string"), F.lit("}"))).otherwise("+")
     spelled = F.when(F.col("name").rlike(r"^\[.*\]$"), F.concat("name", many)).otherwise(F.col("name"))
     options = F.array_join(F.transform("alternatives", _escape), "|")
-    one = fields.join(maybe_broadcast(rest), place, "left").select(*place, F.struct("pos", "alternatives", "listed", F.coalesce("exceptions", F.lit(False)).alias("exceptions"), F.when(F.col("listed") & (F.size("alternatives") > 1), F.concat(F.lit("("), options, F.lit(")"))).when(F.col("listed"), options).otherwise(spelled).alias("expression"), spelled.alias("spelled")).alias("f"))
+    one = fields.join(hint(rest), place, "left").select(*place, F.struct("pos", "alternatives", "listed", F.coalesce("exceptions", F.lit(False)).alias("exceptions"), F.when(F.col("listed") & (F.size("alternatives") > 1), F.concat(F.lit("("), options, F.lit(")"))).when(F.col("listed"), options).otherwise(spelled).alias("expression"), spelled.alias("spelled")).alias("f"))
     return one.groupBy("column_name", "shape").agg(F.sort_array(F.collect_list("f")).alias("parts"))
 
 
