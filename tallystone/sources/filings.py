@@ -1,7 +1,7 @@
 """Company fact documents: reading, flattening, ingest and profile.
 
 Well-formed documents are flattened in the JVM: one from_json with maps for taxonomies, concepts and units, and four
-explodes. Documents of unknown shape go through operators.nested.
+explodes. Documents in envelopes, as JSON text or of other shapes give no rows here: operators.nested is for these.
 """
 
 from __future__ import annotations
